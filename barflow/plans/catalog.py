@@ -13,8 +13,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barflow.functions.casts import legacy_int, normalise_date, safe_float, symbol_from_path
 from barflow.operators.combine import combine_assets, reconcile_counts
 from barflow.operators.joins import attach_security_name
+from barflow.operators.metrics import regression_metrics
+from barflow.operators.model import BoostParams, train_and_evaluate, train_volume_model
+from barflow.operators.prepare import (
+    dedupe_features,
+    drop_incomplete,
+    prepare_training_set,
+)
 from barflow.operators.preview import preview
 from barflow.operators.rolling import (
     add_rolling_features,
@@ -22,16 +30,77 @@ from barflow.operators.rolling import (
     rolling_mean,
     rolling_median,
 )
+from barflow.operators.score import score_guard, score_volume
+from barflow.session import scratch_path
 from barflow.sources import fixtures as fx
+from barflow.sources.csv_prices import clean_types, read_price_csv, write_price_csv
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 W30 = "ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
 
+# Bars come out of GROUP BY (symbol, day): a symbol holds at most one row per
+# calendar day, so a per-symbol window partition is bounded by the number of
+# days (about 366 a year) however large the tables grow. The hot-key pre-pass
+# of the window operator is therefore skipped on derived bars ("single");
+# ingested raw rows keep the default "auto" (see rolling_features_split).
+BARS_SKEW = "single"
+
+# Small tree grid for the registered training check (the job's default is the
+# reference's 5-fold grid over 50/100/150/200 trees; see PipelineConfig).
+CHECK_GRID, CHECK_FOLDS = (5, 10), 3
+
 
 def _stock_features(spark: SparkSession, sf: str) -> DataFrame:
     bars = attach_security_name(fx.stock_bars(spark, sf), fx.symbol_meta(spark, sf))
-    return add_rolling_features(bars)
+    return add_rolling_features(bars, skew=BARS_SKEW)
+
+
+def _combined_features(spark: SparkSession, sf: str) -> DataFrame:
+    meta = fx.symbol_meta(spark, sf)
+    combined = combine_assets(
+        attach_security_name(fx.stock_bars(spark, sf), meta),
+        attach_security_name(fx.etf_bars(spark, sf), meta))
+    return add_rolling_features(combined, partition_cols=("asset_class", "symbol"),
+                                skew=BARS_SKEW)
+
+
+def _planted_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Text cells derived from lineitem, with bad values planted by line
+    number (the same rule is written in the oracle SQL)."""
+    li = fx.table(spark, sf, "lineitem")
+    q = F.col("l_quantity").cast("long").cast("string")
+    cents = F.floor(F.col("l_extendedprice") * 100).cast("long")
+    money = F.concat(F.floor(cents / 100).cast("long").cast("string"), F.lit("."),
+                     F.lpad((cents % 100).cast("string"), 2, "0"))
+    ln = F.col("l_linenumber")
+    vol = (F.when((ln == 1) & (F.col("l_returnflag") == "R"), F.lit(""))
+           .when(ln == 1, q)
+           .when(ln == 2, F.concat(q, F.lit(".0")))
+           .when(ln == 3, F.concat(F.lit("-"), q, F.lit(".9")))
+           .when(ln == 4, F.concat(q, F.lit("e5")))
+           .when(ln == 5, F.concat(F.lit("30000000"), F.lpad(q, 2, "0")))
+           .when(ln == 6, F.concat(F.lit(" \t"), q, F.lit("\n")))
+           .otherwise(F.lit("abc")))
+    price = (F.when(ln == 1, money)
+             .when(ln == 2, F.concat(F.floor(F.col("l_extendedprice")).cast("long")
+                                     .cast("string"), F.lit("e-2")))
+             .when(ln == 3, F.lit("abc"))
+             .when(ln == 4, F.lit(""))
+             .when(ln == 5, F.concat(F.lit("-"), money))
+             .when(ln == 6, F.concat(F.lit("+"), money))
+             .otherwise(F.concat(money, F.lit("x"))))
+    d = F.col("l_shipdate")
+    date = (F.when(ln == 1, F.date_format(d, "yyyy-MM-dd"))
+            .when(ln == 2, F.concat_ws("-", F.year(d).cast("string"), F.month(d).cast("string"),
+                                       F.dayofmonth(d).cast("string")))
+            .when(ln == 3, F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
+            .when(ln == 4, F.date_format(d, "MM/dd/yyyy"))
+            .when(ln == 5, F.lit("x"))
+            .when(ln == 6, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss"))
+            .otherwise(F.lit("")))
+    return li.select("l_orderkey", "l_linenumber", vol.alias("volume_text"),
+                     price.alias("price_text"), date.alias("date_text"))
 
 
 # ---------------------------------------------------------------- Spark side
@@ -40,11 +109,11 @@ def q_enrich_left_join(spark, sf):
 
 
 def q_moving_avg_30(spark, sf):
-    return moving_average(fx.stock_bars(spark, sf))
+    return moving_average(fx.stock_bars(spark, sf), skew=BARS_SKEW)
 
 
 def q_rolling_median_30(spark, sf):
-    return rolling_median(fx.etf_bars(spark, sf))
+    return rolling_median(fx.etf_bars(spark, sf), skew=BARS_SKEW)
 
 
 def q_rolling_mean_30(spark, sf):
@@ -52,7 +121,7 @@ def q_rolling_mean_30(spark, sf):
     # engines add exact integers (float sums are order-dependent)
     bars = fx.stock_bars(spark, sf).withColumn(
         "adj_close_cents", F.floor(F.col("adj_close").cast("double") * 100))
-    out = rolling_mean(bars, price_col="adj_close_cents")
+    out = rolling_mean(bars, price_col="adj_close_cents", skew=BARS_SKEW)
     return out.withColumn("adj_close_rolling_mean", F.col("adj_close_rolling_mean") / 100.0)
 
 
@@ -61,11 +130,7 @@ def q_rolling_features(spark, sf):
 
 
 def q_rolling_features_combined(spark, sf):
-    meta = fx.symbol_meta(spark, sf)
-    combined = combine_assets(
-        attach_security_name(fx.stock_bars(spark, sf), meta),
-        attach_security_name(fx.etf_bars(spark, sf), meta))
-    return add_rolling_features(combined, partition_cols=("asset_class", "symbol"))
+    return _combined_features(spark, sf)
 
 
 def q_combine_union_all(spark, sf):
@@ -85,7 +150,101 @@ def q_reconcile_counts(spark, sf):
     return reconcile_counts(spark, combined)
 
 
+def q_symbol_from_path(spark, sf):
+    part = fx.table(spark, sf, "part")
+    path = F.concat(F.lit("/landing/"), F.regexp_replace("p_type", " ", "_"), F.lit("/"),
+                    F.regexp_replace("p_name", " ", "%20"),
+                    F.when(F.col("p_size") > 25, F.lit(".B")).otherwise(F.lit("")),
+                    F.lit(".csv"))
+    return part.select("p_partkey", path.alias("path"),
+                       symbol_from_path(path).alias("symbol"))
+
+
+def q_safe_cast_types(spark, sf):
+    t = _planted_text(spark, sf)
+    return t.select("l_orderkey", "l_linenumber", "volume_text", "price_text",
+                    legacy_int("volume_text").alias("volume"),
+                    safe_float("price_text").alias("price"))
+
+
+def q_normalise_date(spark, sf):
+    t = _planted_text(spark, sf)
+    return t.select("l_orderkey", "l_linenumber", "date_text",
+                    normalise_date("date_text").alias("date"))
+
+
+def q_csv_ingest(spark, sf):
+    landing = scratch_path(spark, "csv_ingest")
+    write_price_csv(fx.stock_bars(spark, sf), landing)
+    raw = read_price_csv(spark, landing, symbol_source="partition")
+    return attach_security_name(clean_types(raw), fx.symbol_meta(spark, sf))
+
+
+def q_drop_incomplete(spark, sf):
+    return drop_incomplete(_stock_features(spark, sf))
+
+
+def q_dedupe_features(spark, sf):
+    return dedupe_features(_stock_features(spark, sf))
+
+
+def q_sample_split(spark, sf):
+    s = prepare_training_set(_stock_features(spark, sf))
+    return s.select("symbol", "date", "volume", "vol_moving_avg", "adj_close_rolling_med",
+                    "split")
+
+
+def q_metrics_naive(spark, sf):
+    f = drop_incomplete(_combined_features(spark, sf))
+    return regression_metrics(f, label="volume", prediction="vol_moving_avg", scale=100)
+
+
+def _stand_in_prediction(df: DataFrame) -> DataFrame:
+    return df.withColumn("prediction",
+                         F.col("vol_moving_avg") - F.col("adj_close_rolling_med") / 500.0)
+
+
+def q_score_guard(spark, sf):
+    f = _stand_in_prediction(_combined_features(spark, sf))
+    return score_guard(f).select("asset_class", "symbol", "date", "prediction",
+                                 "predicted_volume", "status", "message")
+
+
+def _prepared_by_class(spark, sf):
+    f = _combined_features(spark, sf)
+    return {c: prepare_training_set(f.where(F.col("asset_class") == c)).checkpoint()
+            for c in ("stock", "etf")}
+
+
+def q_train_eval(spark, sf):
+    out = None
+    for cls, prep in _prepared_by_class(spark, sf).items():
+        _, m = train_and_evaluate(prep, cls, CHECK_GRID, CHECK_FOLDS)
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+def q_score_volume(spark, sf):
+    models = {cls: train_volume_model(prep.where(F.col("split") == "train"), CHECK_GRID[0],
+                                      BoostParams())
+              for cls, prep in _prepared_by_class(spark, sf).items()}
+    scored = score_volume(_combined_features(spark, sf), models)
+    return scored.select("asset_class", "symbol", "date", "prediction", "predicted_volume",
+                         "status", "message")
+
+
+def q_rolling_features_split(spark, sf):
+    # the hot-key split path, forced with small thresholds: every symbol
+    # (about 500 rows) counts as hot, chunks of 100 rows carry 29-row halos
+    bars = attach_security_name(fx.stock_bars(spark, sf), fx.symbol_meta(spark, sf))
+    return add_rolling_features(bars, skew="auto", hot_rows=300, chunk_rows=100)
+
+
 SPARK_QUERIES: dict[str, QueryFn] = {
+    "symbol_from_path": q_symbol_from_path,
+    "safe_cast_types": q_safe_cast_types,
+    "normalise_date": q_normalise_date,
+    "csv_ingest": q_csv_ingest,
     "enrich_left_join": q_enrich_left_join,
     "moving_avg_30": q_moving_avg_30,
     "rolling_median_30": q_rolling_median_30,
@@ -95,6 +254,14 @@ SPARK_QUERIES: dict[str, QueryFn] = {
     "combine_union_all": q_combine_union_all,
     "preview_meta": q_preview_meta,
     "reconcile_counts": q_reconcile_counts,
+    "drop_incomplete": q_drop_incomplete,
+    "dedupe_features": q_dedupe_features,
+    "sample_split": q_sample_split,
+    "metrics_naive": q_metrics_naive,
+    "score_guard": q_score_guard,
+    "train_eval": q_train_eval,
+    "score_volume": q_score_volume,
+    "rolling_features_split": q_rolling_features_split,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -139,3 +306,149 @@ SELECT asset_class AS dataset, count(*) AS expected_rows, count(*) AS actual_row
        true AS ok
 FROM combined GROUP BY asset_class""",
 }
+
+_FEATURES = f"""
+, features AS (
+  SELECT b.*, m.security_name,
+         avg(volume) OVER w AS vol_moving_avg,
+         quantile_disc(adj_close, 0.5) OVER w AS adj_close_rolling_med
+  FROM stocks b LEFT JOIN meta m ON b.symbol = m.symbol
+  WINDOW w AS (PARTITION BY b.symbol ORDER BY b.date {W30}))
+, combined_features AS (
+  SELECT *, avg(volume) OVER w AS vol_moving_avg,
+         quantile_disc(adj_close, 0.5) OVER w AS adj_close_rolling_med
+  FROM combined_named
+  WINDOW w AS (PARTITION BY asset_class, symbol ORDER BY date {W30}))
+"""
+
+
+def _complete(cols_float: tuple[str, ...], cols_other: tuple[str, ...]) -> str:
+    parts = [f"{c} IS NOT NULL" for c in cols_other + cols_float]
+    parts += [f"NOT isnan({c})" for c in cols_float]
+    return " AND ".join(parts)
+
+
+_FLOATS = ("open", "high", "low", "close", "adj_close", "vol_moving_avg",
+           "adj_close_rolling_med")
+_COMPLETE = _complete(_FLOATS, ("symbol", "volume", "security_name"))
+_COMPLETE_COMBINED = _complete(_FLOATS, ("symbol", "volume", "security_name", "asset_class"))
+
+_PLANTED = """
+, planted AS (
+  SELECT l_orderkey, l_linenumber,
+    CASE WHEN l_linenumber = 1 AND l_returnflag = 'R' THEN ''
+         WHEN l_linenumber = 1 THEN q
+         WHEN l_linenumber = 2 THEN q || '.0'
+         WHEN l_linenumber = 3 THEN '-' || q || '.9'
+         WHEN l_linenumber = 4 THEN q || 'e5'
+         WHEN l_linenumber = 5 THEN '30000000' || lpad(q, 2, '0')
+         WHEN l_linenumber = 6 THEN ' ' || chr(9) || q || chr(10)
+         ELSE 'abc' END AS volume_text,
+    CASE WHEN l_linenumber = 1 THEN money
+         WHEN l_linenumber = 2 THEN CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) || 'e-2'
+         WHEN l_linenumber = 3 THEN 'abc'
+         WHEN l_linenumber = 4 THEN ''
+         WHEN l_linenumber = 5 THEN '-' || money
+         WHEN l_linenumber = 6 THEN '+' || money
+         ELSE money || 'x' END AS price_text,
+    CASE WHEN l_linenumber = 1 THEN strftime(l_shipdate, '%Y-%m-%d')
+         WHEN l_linenumber = 2 THEN CAST(year(l_shipdate) AS VARCHAR) || '-' ||
+              CAST(month(l_shipdate) AS VARCHAR) || '-' || CAST(day(l_shipdate) AS VARCHAR)
+         WHEN l_linenumber = 3 THEN strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')
+         WHEN l_linenumber = 4 THEN strftime(l_shipdate, '%m/%d/%Y')
+         WHEN l_linenumber = 5 THEN 'x'
+         WHEN l_linenumber = 6 THEN strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S')
+         ELSE '' END AS date_text
+  FROM (SELECT *, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS q,
+               CAST(CAST(floor(cents / 100) AS BIGINT) AS VARCHAR) || '.' ||
+               lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS money
+        FROM (SELECT *, CAST(floor(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)))
+"""
+
+_LEGACY_INT = """
+CASE WHEN regexp_matches(t, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$') THEN
+  CASE WHEN split_part(t, '.', 1) IN ('', '+', '-') THEN 0
+       ELSE TRY_CAST(split_part(t, '.', 1) AS INTEGER) END END"""
+
+
+def _fixed2(x: str) -> str:
+    cents = f"CAST(floor(abs(CAST({x} AS DOUBLE)) * 100) AS BIGINT)"
+    return (f"(CASE WHEN {x} < 0 THEN '-' ELSE '' END || "
+            f"CAST(CAST(floor({cents} / 100) AS BIGINT) AS VARCHAR) || '.' || "
+            f"lpad(CAST({cents} % 100 AS VARCHAR), 2, '0'))")
+
+
+ORACLE_SQL.update({
+    "symbol_from_path": """
+SELECT p_partkey, path, regexp_replace(path, '.*/|\\..*', '', 'g') AS symbol
+FROM (SELECT p_partkey,
+             '/landing/' || replace(p_type, ' ', '_') || '/' || replace(p_name, ' ', '%20') ||
+             CASE WHEN p_size > 25 THEN '.B' ELSE '' END || '.csv' AS path
+      FROM part)""",
+    "safe_cast_types": "WITH _x AS (SELECT 1)" + _PLANTED + f"""
+SELECT l_orderkey, l_linenumber, volume_text, price_text,
+       {_LEGACY_INT} AS volume,
+       TRY_CAST(price_text AS FLOAT) AS price
+FROM (SELECT *, regexp_replace(volume_text, '^\\s+|\\s+$', '', 'g') AS t FROM planted)""",
+    "normalise_date": "WITH _x AS (SELECT 1)" + _PLANTED + """
+SELECT l_orderkey, l_linenumber, date_text,
+       strftime(TRY_CAST(date_text AS TIMESTAMP), '%Y-%m-%d') AS date
+FROM planted""",
+    "csv_ingest": _CTE + _ENRICHED + "SELECT * FROM stocks_named",
+    "drop_incomplete": _CTE + _ENRICHED + _FEATURES + f"""
+SELECT * FROM features WHERE {_COMPLETE}""",
+    "dedupe_features": _CTE + _ENRICHED + _FEATURES + """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY vol_moving_avg, adj_close_rolling_med, volume
+                               ORDER BY symbol, date) AS rn
+  FROM features) WHERE rn = 1""",
+    "sample_split": _CTE + _ENRICHED + _FEATURES + f"""
+, d AS (SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY vol_moving_avg, adj_close_rolling_med, volume
+                                 ORDER BY symbol, date) AS rn
+    FROM features WHERE {_COMPLETE}) WHERE rn = 1)
+, r AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '42', symbol, date)), symbol, date) AS k,
+               count(*) OVER () AS n FROM d)
+SELECT symbol, date, volume, vol_moving_avg, adj_close_rolling_med,
+       CASE WHEN k <= floor(0.8 * floor(n * 0.5)) THEN 'train' ELSE 'test' END AS split
+FROM r WHERE k <= floor(n * 0.5)""",
+    "metrics_naive": _CTE + _ENRICHED + _FEATURES + f"""
+, e AS (SELECT asset_class, CAST(volume AS DOUBLE) - CAST(vol_moving_avg AS DOUBLE) AS err,
+               CAST(volume AS BIGINT) AS y
+        FROM combined_features WHERE {_COMPLETE_COMBINED})
+, a AS (SELECT asset_class, count(*) AS n,
+               sum(floor(abs(err) * 100.0::DOUBLE)) AS sae,
+               sum(floor(err * err * 100.0::DOUBLE)) AS sse,
+               sum(y) AS sy, sum(y * y) AS syy
+        FROM e GROUP BY asset_class)
+SELECT asset_class, n,
+       CAST(sae AS DOUBLE) / (100.0::DOUBLE * CAST(n AS DOUBLE)) AS mae,
+       CAST(sse AS DOUBLE) / (100.0::DOUBLE * CAST(n AS DOUBLE)) AS mse,
+       sqrt(CAST(sse AS DOUBLE) / (100.0::DOUBLE * CAST(n AS DOUBLE))) AS rmse,
+       CASE WHEN CAST(n AS DOUBLE) * CAST(syy AS DOUBLE) - CAST(sy AS DOUBLE) * CAST(sy AS DOUBLE) > 0
+            THEN 1.0::DOUBLE - (CAST(sse AS DOUBLE) * CAST(n AS DOUBLE)) /
+                 (100.0::DOUBLE * (CAST(n AS DOUBLE) * CAST(syy AS DOUBLE)
+                                   - CAST(sy AS DOUBLE) * CAST(sy AS DOUBLE))) END AS r2
+FROM a""",
+    "score_guard": _CTE + _ENRICHED + _FEATURES + f"""
+, p AS (SELECT *, CAST(vol_moving_avg AS DOUBLE) - CAST(adj_close_rolling_med AS DOUBLE) / 500.0::DOUBLE
+                  AS prediction FROM combined_features)
+, s AS (SELECT *, TRY_CAST(trunc(prediction) AS BIGINT) AS pv,
+          CASE WHEN NOT (vol_moving_avg IS NOT NULL AND NOT isnan(vol_moving_avg) AND NOT isinf(vol_moving_avg)
+                     AND adj_close_rolling_med IS NOT NULL AND NOT isnan(adj_close_rolling_med)
+                     AND NOT isinf(adj_close_rolling_med)) THEN 'invalid_input'
+               WHEN prediction IS NULL OR isnan(prediction) OR isinf(prediction) THEN 'invalid_output'
+               WHEN TRY_CAST(trunc(prediction) AS BIGINT) < 0 THEN 'negative'
+               ELSE 'ok' END AS status
+        FROM p)
+SELECT asset_class, symbol, date, prediction,
+       CASE WHEN status = 'ok' THEN pv END AS predicted_volume, status,
+       CASE WHEN status = 'invalid_input' THEN 'Invalid input. Please enter numeric values for vol_moving_avg and adj_close_rolling_med.'
+            WHEN status = 'ok' THEN 'The predicted ' || asset_class || ' volume given (' ||
+                 {_fixed2('vol_moving_avg')} || ', ' || {_fixed2('adj_close_rolling_med')} ||
+                 ') is ' || CAST(pv AS VARCHAR) || '.'
+            ELSE 'Invalid Output. Please enter valid values for vol_moving_avg and adj_close_rolling_med.'
+       END AS message
+FROM s""",
+    "rolling_features_split": ORACLE_SQL["rolling_features"],
+})

@@ -31,11 +31,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _bars(lines: DataFrame, symbol: F.Column) -> DataFrame:
+def _bars(lines: DataFrame, group_key: F.Column, symbol: F.Column) -> DataFrame:
+    """One bar per (group_key, ship day). Grouping runs on the narrow key
+    (numeric for stocks); the symbol text is built after aggregation.
+
+    open/close/adj_close use a struct ordering key, whose variable-width buffer
+    plans a sort-based aggregate; it still aggregates partially before the
+    shuffle, so a hot (symbol, day) never lands whole in one task.
+    """
     key = F.struct(*LINE_ORDER_KEY)
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return (
-        lines.groupBy(symbol.alias("symbol"), F.to_date("l_shipdate").alias("_day"))
+        lines.groupBy(group_key.alias("_key"), F.to_date("l_shipdate").alias("_day"))
         .agg(
             F.min_by("l_extendedprice", key).cast("float").alias("open"),
             F.max("l_extendedprice").cast("float").alias("high"),
@@ -44,14 +51,14 @@ def _bars(lines: DataFrame, symbol: F.Column) -> DataFrame:
             F.max_by(net, key).cast("float").alias("adj_close"),
             F.sum("l_quantity").cast("int").alias("volume"),
         )
-        .withColumn("date", F.date_format("_day", "yyyy-MM-dd"))
+        .withColumns({"symbol": symbol, "date": F.date_format("_day", "yyyy-MM-dd")})
         .select(*BAR_COLUMNS)
     )
 
 
 def stock_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return _bars(li, F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
+    return _bars(li, F.col("l_suppkey"), F.concat(F.lit("S"), F.col("_key").cast("string")))
 
 
 def etf_bars(spark: SparkSession, sf_dir: str, max_broadcast_rows: int = 5_000_000) -> DataFrame:
@@ -61,7 +68,7 @@ def etf_bars(spark: SparkSession, sf_dir: str, max_broadcast_rows: int = 5_000_0
     # part grows with the scale factor: broadcast only below a checked row
     # bound, otherwise a shuffle join (AQE splits skewed part keys).
     joined = li.join(bounded_broadcast(part, max_broadcast_rows), "l_partkey")
-    return _bars(joined, F.col("p_brand"))
+    return _bars(joined, F.col("p_brand"), F.col("_key"))
 
 
 def symbol_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
