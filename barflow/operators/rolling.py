@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 DEFAULT_HOT_ROWS = 5_000_000      # a key with more rows than this is split
 DEFAULT_CHUNK_ROWS = 2_000_000    # rows per window chunk of a split key
 MAX_HOT_KEYS = 1_000_000          # bound on the collected hot-key list
+RANGE_ROWS = 2_000_000            # rows per range partition when numbering rows
 
 FeatureSpec = dict[str, Callable[[WindowSpec], Column]]
 
@@ -208,7 +209,9 @@ def _hot_path(df: DataFrame, specs: FeatureSpec, partition_cols: list[str],
               order_cols: list[str], window_rows: int, total_rows: int,
               chunk_rows: int) -> DataFrame:
     chunk_rows = max(chunk_rows, window_rows)
-    parts = max(1, math.ceil(total_rows / chunk_rows))
+    # range partitions are sized independently of the window chunks
+    min_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    parts = max(min_parts, math.ceil(total_rows / RANGE_ROWS))
     ordered = with_group_ordinal(df, partition_cols, order_cols, parts)
     pos = (F.col("_ord") - 1) % chunk_rows
     base_chunk = F.floor((F.col("_ord") - 1) / chunk_rows)
