@@ -1,0 +1,64 @@
+"""GBT prefix property, save/load, determinism, metric bounds."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from barflow.operators import model as M
+from barflow.operators.metrics import regression_metrics
+from barflow.operators.score import score_volume
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def prepared(spark):
+    from barflow.plans import catalog as C
+    from barflow.operators.prepare import prepare_training_set
+
+    return prepare_training_set(C._stock_features(spark, SF)).checkpoint()
+
+
+def test_prefix_property(spark, prepared):
+    train = M._labelled(prepared.where("split = 'train'"), M.FEATURES, M.TARGET)
+    p = M.BoostParams(max_depth=3)
+    short = M._gbt(4, p).fit(train).evaluateEachIteration(train, "squared")
+    long = M._gbt(8, p).fit(train).evaluateEachIteration(train, "squared")
+    assert short == pytest.approx(long[:4], rel=1e-6)
+
+
+def test_train_save_load_and_repeat(spark, prepared, tmp_dir):
+    train = prepared.where("split = 'train'")
+    test = prepared.where("split = 'test'")
+    m1 = M.train_volume_model(train, 5)
+    m2 = M.train_volume_model(train, 5)
+    p1 = [r["prediction"] for r in M.predict(m1, test).orderBy("symbol", "date").collect()]
+    p2 = [r["prediction"] for r in M.predict(m2, test).orderBy("symbol", "date").collect()]
+    assert p1 == p2                                   # same seed, same layout
+    M.save_model(m1, f"{tmp_dir}/model")
+    p3 = [r["prediction"] for r in M.predict(M.load_model(f"{tmp_dir}/model"), test)
+          .orderBy("symbol", "date").collect()]
+    assert p1 == p3
+
+
+def test_train_and_evaluate_bounds(spark, prepared):
+    model, metrics = M.train_and_evaluate(prepared, "stock", grid=(3, 6), folds=2)
+    m = metrics.first()
+    assert m["train_rows"] + m["test_rows"] == prepared.count()
+    assert m["n_trees"] in (3, 6)
+    assert 0 <= m["best_iteration"] < m["n_trees"]
+    test = prepared.where("split = 'test'").withColumn("asset_class", F.lit("stock"))
+    mean_vol = prepared.where("split = 'train'").agg(F.avg("volume")).first()[0]
+    mean_pred = regression_metrics(test.withColumn("prediction", F.lit(mean_vol))).first()
+    # boosted trees must not be worse than predicting the train mean (small slack)
+    assert m["mae"] <= mean_pred["mae"] * 1.05
+
+
+def test_score_volume_routes_by_class(spark, prepared):
+    train = prepared.where("split = 'train'")
+    models = {"stock": M.train_volume_model(train, 3)}
+    req = spark.createDataFrame([("stock", 20.0, 1000.0), ("etf", 20.0, 1000.0)],
+                                "asset_class string, vol_moving_avg double, "
+                                "adj_close_rolling_med double")
+    out = {r["asset_class"]: r for r in score_volume(req, models).collect()}
+    assert out["stock"]["status"] in ("ok", "negative")
+    assert out["etf"]["status"] == "invalid_output"      # no model for the class
