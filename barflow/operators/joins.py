@@ -13,13 +13,17 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only behind a checked size bound.
 
-    Runs a bounded count (``limit(max_rows + 1).count()``, which stops early)
-    and hints a broadcast only when the side has at most ``max_rows`` rows.
-    Otherwise the frame is returned as is and the planner / AQE chooses a
-    shuffle join (and may still convert it to a broadcast join at runtime from
-    real shuffle sizes).
+    Counts the side (one distributed pass: partial counts per task, one row
+    per task shuffled) and hints a broadcast only when it has at most
+    ``max_rows`` rows. Otherwise the frame is returned as is and the planner /
+    AQE chooses a shuffle join (AQE may still switch to a broadcast join at
+    runtime from real shuffle sizes, and splits skewed join keys).
+
+    (``limit(max_rows + 1).count()`` is avoided on purpose: it plans a global
+    limit behind a single-partition exchange, so a large side would stream
+    through one task.)
     """
-    n = df.limit(max_rows + 1).count()
+    n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
 
