@@ -34,6 +34,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from barflow.session import reliable_checkpoint
+
 DEFAULT_HOT_ROWS = 5_000_000      # a key with more rows than this is split
 DEFAULT_CHUNK_ROWS = 2_000_000    # rows per window chunk of a split key
 MAX_HOT_KEYS = 1_000_000          # bound on the collected hot-key list
@@ -183,9 +185,8 @@ def with_group_ordinal(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     keys = group_cols + order_cols
-    ranged = (df.repartitionByRange(num_partitions, *keys)
-              .sortWithinPartitions(*keys)
-              .checkpoint(eager=True))
+    ranged = reliable_checkpoint(df.repartitionByRange(num_partitions, *keys)
+                                 .sortWithinPartitions(*keys))
     indexed = (ranged.withColumn("_pid", F.spark_partition_id())
                .withColumn("_mid", F.monotonically_increasing_id()))
     stats = (indexed.groupBy(*group_cols, "_pid")

@@ -31,7 +31,7 @@ from barflow.operators.rolling import (
     rolling_median,
 )
 from barflow.operators.score import score_guard, score_volume
-from barflow.session import scratch_path
+from barflow.session import reliable_checkpoint, scratch_path
 from barflow.sources import fixtures as fx
 from barflow.sources.csv_prices import clean_types, read_price_csv, write_price_csv
 
@@ -212,7 +212,7 @@ def q_score_guard(spark, sf):
 
 def _prepared_by_class(spark, sf):
     f = _combined_features(spark, sf)
-    return {c: prepare_training_set(f.where(F.col("asset_class") == c)).checkpoint()
+    return {c: reliable_checkpoint(prepare_training_set(f.where(F.col("asset_class") == c)))
             for c in ("stock", "etf")}
 
 

@@ -69,3 +69,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     intermediate tables (never a machine-local temp dir on a cluster)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/barflow-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def reliable_checkpoint(df, eager: bool = True):
+    """``df.checkpoint()`` into the session's shared checkpoint dir (set for
+    tests only when missing). Cuts lineage; files survive executor loss."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
