@@ -82,3 +82,13 @@ def test_reconcile_counts(spark, tmp_dir):
 def test_preview_is_ordered_top_k(spark):
     df = spark.createDataFrame([(f"S{i:02d}", i) for i in range(30)][::-1], "s string, v int")
     assert [r["s"] for r in preview(df, 3, ["s"]).collect()] == ["S00", "S01", "S02"]
+
+
+def test_recommended_conf_scales_with_data():
+    from barflow.plans.tuning import recommended_conf
+
+    small = recommended_conf(10 << 30, total_cores=64)
+    big = recommended_conf(100 << 40, total_cores=8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 64
+    assert int(big["spark.sql.shuffle.partitions"]) % 8000 == 0
+    assert int(big["spark.sql.shuffle.partitions"]) * (200 << 20) >= 100 << 40
