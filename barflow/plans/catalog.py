@@ -240,6 +240,21 @@ def q_rolling_features_split(spark, sf):
     return add_rolling_features(bars, skew="auto", hot_rows=300, chunk_rows=100)
 
 
+def q_rolling_ticks_by_flag(spark, sf):
+    # genuinely skewed input: every line item is a tick keyed by its return
+    # flag, and each of the three flags holds a third of all rows. Ordered by
+    # ship date + the 6-column line key (unique), trailing 30 rows. Split
+    # thresholds scaled to test size so the hot-key path runs on every flag.
+    li = fx.table(spark, sf, "lineitem").select(
+        "l_returnflag", "l_shipdate", *fx.LINE_ORDER_KEY, "l_quantity")
+    out = add_rolling_features(li, partition_cols=("l_returnflag",), order_col="l_shipdate",
+                               tie_breaker=fx.LINE_ORDER_KEY, volume_col="l_quantity",
+                               price_col="l_extendedprice", hot_rows=10_000,
+                               chunk_rows=4_096)
+    return out.withColumnsRenamed({"vol_moving_avg": "qty_moving_avg",
+                                   "adj_close_rolling_med": "price_rolling_med"})
+
+
 SPARK_QUERIES: dict[str, QueryFn] = {
     "symbol_from_path": q_symbol_from_path,
     "safe_cast_types": q_safe_cast_types,
@@ -262,6 +277,7 @@ SPARK_QUERIES: dict[str, QueryFn] = {
     "train_eval": q_train_eval,
     "score_volume": q_score_volume,
     "rolling_features_split": q_rolling_features_split,
+    "rolling_ticks_by_flag": q_rolling_ticks_by_flag,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -451,4 +467,12 @@ SELECT asset_class, symbol, date, prediction,
        END AS message
 FROM s""",
     "rolling_features_split": ORACLE_SQL["rolling_features"],
+    "rolling_ticks_by_flag": f"""
+SELECT l_returnflag, l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       l_extendedprice, l_discount, l_quantity,
+       avg(l_quantity) OVER w AS qty_moving_avg,
+       quantile_disc(l_extendedprice, 0.5) OVER w AS price_rolling_med
+FROM lineitem
+WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber,
+             l_partkey, l_suppkey, l_extendedprice, l_discount {W30})""",
 })
