@@ -78,23 +78,24 @@ def score_guard(df: DataFrame, prediction: str = "prediction", class_col: str =
 
 def score_volume(df: DataFrame, models: Mapping[str, object], class_col: str = "asset_class",
                  features=FEATURES) -> DataFrame:
-    """M9: pick the model by asset class, predict, guard.
+    """M9: predict with the model of each row's asset class, then guard.
 
-    ``models`` maps class -> fitted ``PipelineModel`` (see ``barflow.operators.
-    model``). Rows whose class has no model get ``invalid_input``-free NULL
-    predictions and status ``invalid_output``. Each class is scored by its own
-    map-only transform; the union needs no shuffle.
+    ``models`` maps class -> fitted ``PipelineModel`` ([assembler, booster],
+    see ``barflow.operators.model``). One pass over the input: the features
+    are assembled once, every class's booster adds its own prediction column
+    (map-only), and each row keeps the one of its class. Rows whose class has
+    no model get a NULL prediction (status ``invalid_output``).
     """
-    from barflow.operators.model import predict
-
-    parts = []
-    known = list(models)
-    for cls, model in models.items():
-        part = df.where(F.col(class_col) == cls)
-        parts.append(predict(model, part, features))
-    other = df.where(~F.col(class_col).isin(known) | F.col(class_col).isNull()) \
-        .withColumn("prediction", F.lit(None).cast("double"))
-    scored = parts[0] if parts else other
-    for p in parts[1:] + ([other] if parts else []):
-        scored = scored.unionByName(p)
-    return score_guard(scored, "prediction", class_col, features)
+    from barflow.operators.model import assembler
+
+    out = assembler(features).transform(df)
+    pick = F.lit(None).cast("double")
+    tmp = []
+    for i, (cls, model) in enumerate(models.items()):
+        col = f"_prediction_{i}"
+        booster = model.stages[-1].copy().setPredictionCol(col)
+        out = booster.transform(out)
+        pick = F.when(F.col(class_col) == cls, F.col(col)).otherwise(pick)
+        tmp.append(col)
+    out = out.withColumn("prediction", pick).drop("features", *tmp)
+    return score_guard(out, "prediction", class_col, features)

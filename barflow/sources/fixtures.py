@@ -47,11 +47,14 @@ def _bars(lines: DataFrame, group_key: F.Column, symbol: F.Column) -> DataFrame:
             F.min_by("l_extendedprice", key).cast("float").alias("open"),
             F.max("l_extendedprice").cast("float").alias("high"),
             F.min("l_extendedprice").cast("float").alias("low"),
-            F.max_by("l_extendedprice", key).cast("float").alias("close"),
-            F.max_by(net, key).cast("float").alias("adj_close"),
+            # close and adj_close come from the same (last) line: one max_by
+            F.max_by(F.struct(F.col("l_extendedprice").alias("p"), net.alias("n")), key)
+            .alias("_last"),
             F.sum("l_quantity").cast("int").alias("volume"),
         )
-        .withColumns({"symbol": symbol, "date": F.date_format("_day", "yyyy-MM-dd")})
+        .withColumns({"symbol": symbol, "date": F.date_format("_day", "yyyy-MM-dd"),
+                      "close": F.col("_last.p").cast("float"),
+                      "adj_close": F.col("_last.n").cast("float")})
         .select(*BAR_COLUMNS)
     )
 
