@@ -41,7 +41,8 @@ def test_stream_scoring_equals_batch(spark, tmp_dir):
 def _brute_rolling(rows, window):
     df = pd.DataFrame(rows, columns=["symbol", "date", "volume", "adj_close", "seq"])
     out = {}
-    for sym, g in df.sort_values(["symbol", "date", "seq"]).groupby("symbol"):
+    for sym, g in df.sort_values(["symbol", "date", "seq"]).groupby("symbol", dropna=False):
+        sym = None if pd.isna(sym) else sym
         vols, pxs = list(g["volume"]), list(g["adj_close"])
         for i, seq in enumerate(g["seq"]):
             v = [x for x in vols[max(0, i - window + 1):i + 1] if not pd.isna(x)]
@@ -51,12 +52,12 @@ def _brute_rolling(rows, window):
     return out
 
 
-row = st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(0, 60),
+row = st.tuples(st.sampled_from(["A", "B", "C", None]), st.integers(0, 60),
                 st.one_of(st.none(), st.integers(0, 1000)),
                 st.one_of(st.none(), st.integers(1, 50).map(float)))
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(row, min_size=1, max_size=150), st.integers(1, 8), st.integers(2, 40))
 def test_split_window_equals_brute_force(spark, rows, window, chunk):
     rows = [(s, (date(2020, 1, 1) + timedelta(days=d)).isoformat(), v, p, i)
