@@ -34,6 +34,7 @@ from barflow.operators.score import score_guard, score_volume
 from barflow.session import reliable_checkpoint, scratch_path
 from barflow.sources import fixtures as fx
 from barflow.sources.csv_prices import clean_types, read_price_csv, write_price_csv
+from barflow.streaming.incremental import ingest_prices_incremental
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -180,6 +181,17 @@ def q_csv_ingest(spark, sf):
     return attach_security_name(clean_types(raw), fx.symbol_meta(spark, sf))
 
 
+def q_csv_ingest_incremental(spark, sf):
+    # Land every bar as CSV, then ingest it with the file stream, 1000
+    # files per micro-batch (the reference's batch size), exactly once
+    base = scratch_path(spark, "csv_ingest_incremental")
+    write_price_csv(fx.stock_bars(spark, sf), f"{base}/landing")
+    ingest_prices_incremental(spark, f"{base}/landing", fx.symbol_meta(spark, sf),
+                              f"{base}/prices", f"{base}/_checkpoint", asset_class="stock",
+                              files_per_trigger=1000, symbol_source="partition")
+    return spark.read.parquet(f"{base}/prices")
+
+
 def q_drop_incomplete(spark, sf):
     return drop_incomplete(_stock_features(spark, sf))
 
@@ -260,6 +272,7 @@ SPARK_QUERIES: dict[str, QueryFn] = {
     "safe_cast_types": q_safe_cast_types,
     "normalise_date": q_normalise_date,
     "csv_ingest": q_csv_ingest,
+    "csv_ingest_incremental": q_csv_ingest_incremental,
     "enrich_left_join": q_enrich_left_join,
     "moving_avg_30": q_moving_avg_30,
     "rolling_median_30": q_rolling_median_30,
@@ -411,6 +424,8 @@ SELECT l_orderkey, l_linenumber, date_text,
        strftime(TRY_CAST(date_text AS TIMESTAMP), '%Y-%m-%d') AS date
 FROM planted""",
     "csv_ingest": _CTE + _ENRICHED + "SELECT * FROM stocks_named",
+    "csv_ingest_incremental": _CTE + _ENRICHED +
+    "SELECT *, 'stock' AS asset_class FROM stocks_named",
     "drop_incomplete": _CTE + _ENRICHED + _FEATURES + f"""
 SELECT * FROM features WHERE {_COMPLETE}""",
     "dedupe_features": _CTE + _ENRICHED + _FEATURES + """
