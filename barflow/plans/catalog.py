@@ -213,12 +213,24 @@ def q_metrics_naive(spark, sf):
 
 def _stand_in_prediction(df: DataFrame) -> DataFrame:
     return df.withColumn("prediction",
-                         F.col("vol_moving_avg") - F.col("adj_close_rolling_med") / 500.0)
+                         F.col("vol_moving_avg") - F.col("adj_close_rolling_med") / 1600.0)
 
 
 def q_score_guard(spark, sf):
+    # every row kept; the guard's edge cases are planted by calendar day:
+    # NaN / infinite predictions, -0.5 (truncates to an accepted 0) and a
+    # NaN input feature (the same rule is written in the oracle SQL)
     f = _stand_in_prediction(_combined_features(spark, sf))
-    return score_guard(f).select("asset_class", "symbol", "date", "prediction",
+    day = F.substring("date", 9, 2)
+    f = f.withColumns({
+        "prediction": F.when(day == "01", F.lit(float("nan")))
+                       .when(day == "02", F.lit(float("inf")))
+                       .when(day == "03", F.lit(-0.5))
+                       .otherwise(F.col("prediction")),
+        "vol_moving_avg": F.when(day == "04", F.lit(float("nan")))
+                           .otherwise(F.col("vol_moving_avg")),
+    })
+    return score_guard(f).select("asset_class", "symbol", "date",
                                  "predicted_volume", "status", "message")
 
 
@@ -462,8 +474,16 @@ SELECT asset_class, n,
                                    - CAST(sy AS DOUBLE) * CAST(sy AS DOUBLE))) END AS r2
 FROM a""",
     "score_guard": _CTE + _ENRICHED + _FEATURES + f"""
-, p AS (SELECT *, CAST(vol_moving_avg AS DOUBLE) - CAST(adj_close_rolling_med AS DOUBLE) / 500.0::DOUBLE
-                  AS prediction FROM combined_features)
+, p0 AS (SELECT * REPLACE (CAST(vol_moving_avg AS DOUBLE) AS vol_moving_avg),
+                  CAST(vol_moving_avg AS DOUBLE) - CAST(adj_close_rolling_med AS DOUBLE) / 1600.0::DOUBLE
+                  AS prediction0 FROM combined_features)
+, p AS (SELECT * REPLACE (CASE WHEN substr(date, 9, 2) = '04' THEN CAST('NaN' AS DOUBLE)
+                               ELSE vol_moving_avg END AS vol_moving_avg),
+               CASE WHEN substr(date, 9, 2) = '01' THEN CAST('NaN' AS DOUBLE)
+                    WHEN substr(date, 9, 2) = '02' THEN CAST('inf' AS DOUBLE)
+                    WHEN substr(date, 9, 2) = '03' THEN -0.5::DOUBLE
+                    ELSE prediction0 END AS prediction
+        FROM p0)
 , s AS (SELECT *, TRY_CAST(trunc(prediction) AS BIGINT) AS pv,
           CASE WHEN NOT (vol_moving_avg IS NOT NULL AND NOT isnan(vol_moving_avg) AND NOT isinf(vol_moving_avg)
                      AND adj_close_rolling_med IS NOT NULL AND NOT isnan(adj_close_rolling_med)
@@ -472,7 +492,7 @@ FROM a""",
                WHEN TRY_CAST(trunc(prediction) AS BIGINT) < 0 THEN 'negative'
                ELSE 'ok' END AS status
         FROM p)
-SELECT asset_class, symbol, date, prediction,
+SELECT asset_class, symbol, date,
        CASE WHEN status = 'ok' THEN pv END AS predicted_volume, status,
        CASE WHEN status = 'invalid_input' THEN 'Invalid input. Please enter numeric values for vol_moving_avg and adj_close_rolling_med.'
             WHEN status = 'ok' THEN 'The predicted ' || asset_class || ' volume given (' ||
