@@ -192,6 +192,19 @@ def q_csv_ingest_incremental(spark, sf):
     return spark.read.parquet(f"{base}/prices")
 
 
+def q_daily_job_features(spark, sf):
+    # D1 up to the feature table: land CSVs, ingest both classes, reconcile
+    # counts while writing, rolling features with the default skew="auto"
+    # (pre-pass on the written table), written and read back
+    from barflow.plans.daily_job import land_fixture_csv, run_job
+
+    cfg = land_fixture_csv(spark, sf, scratch_path(spark, "daily_job"))
+    summary = run_job(spark, cfg, train=False)
+    if not all(r["ok"] for r in summary["reconcile"]):
+        raise RuntimeError(f"row counts do not reconcile: {summary['reconcile']}")
+    return spark.read.parquet(cfg.features_path)
+
+
 def q_drop_incomplete(spark, sf):
     return drop_incomplete(_stock_features(spark, sf))
 
@@ -294,6 +307,7 @@ SPARK_QUERIES: dict[str, QueryFn] = {
     "combine_union_all": q_combine_union_all,
     "preview_meta": q_preview_meta,
     "reconcile_counts": q_reconcile_counts,
+    "daily_job_features": q_daily_job_features,
     "drop_incomplete": q_drop_incomplete,
     "dedupe_features": q_dedupe_features,
     "sample_split": q_sample_split,
@@ -502,6 +516,7 @@ SELECT asset_class, symbol, date,
        END AS message
 FROM s""",
     "rolling_features_split": ORACLE_SQL["rolling_features"],
+    "daily_job_features": ORACLE_SQL["rolling_features_combined"],
     "rolling_ticks_by_flag": f"""
 SELECT l_returnflag, l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
        l_extendedprice, l_discount, l_quantity,

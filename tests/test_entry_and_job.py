@@ -13,7 +13,7 @@ from barflow.plans.daily_job import land_fixture_csv, run_job
 SF = "/root/testdata/sf0.001"
 TABLES = ("lineitem", "part", "supplier", "orders", "customer", "nation", "region")
 NO_ORACLE = {"train_eval", "score_volume"}
-SLOW = NO_ORACLE | {"csv_ingest", "reconcile_counts"}
+SLOW = NO_ORACLE | {"csv_ingest", "reconcile_counts", "daily_job_features"}
 
 
 def _digest(rows):
