@@ -134,15 +134,20 @@ def trailing_window(df: DataFrame, specs: FeatureSpec, partition_cols: Sequence[
     if skew != "auto":
         raise ValueError(f"unknown skew mode {skew!r}")
 
-    hot = _hot_keys(df, partition_cols, hot_rows)
+    hot, has_cold = _hot_keys(df, partition_cols, hot_rows)
     if not hot:
         return _apply(df, specs, w)
 
+    total_hot = sum(r["_n"] for r in hot)
+    if not has_cold:
+        # every key is hot (e.g. a few thousand symbols over 100 TB): one path,
+        # no hot/cold split joins
+        return _hot_path(df, specs, partition_cols, order_cols, window_rows,
+                         total_hot, chunk_rows)
     spark = df.sparkSession
     key_schema = df.select(*partition_cols).schema
     hot_df = spark.createDataFrame([tuple(r[c] for c in partition_cols) for r in hot],
                                    key_schema)
-    total_hot = sum(r["_n"] for r in hot)
     # the key list is bounded (each hot key holds > hot_rows rows): broadcast
     cond = _null_safe_eq(df, hot_df, partition_cols)
     cold = df.join(F.broadcast(hot_df), cond, "left_anti")
@@ -160,15 +165,22 @@ def _null_safe_eq(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Col
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
-def _hot_keys(df: DataFrame, partition_cols: list[str], hot_rows: int) -> list:
-    """Keys with more than ``hot_rows`` rows (partial aggregation; tiny result,
-    bounded by total_rows / hot_rows)."""
-    hot = (df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_rows))
-    rows = hot.limit(MAX_HOT_KEYS + 1).collect()
-    if len(rows) > MAX_HOT_KEYS:
+def _hot_keys(df: DataFrame, partition_cols: list[str], hot_rows: int) -> tuple[list, bool]:
+    """Keys with more than ``hot_rows`` rows, and whether any other key exists.
+
+    One action over a partial aggregation: the hot keys (bounded by
+    total_rows / hot_rows, checked against MAX_HOT_KEYS) plus at most one
+    marker row for the cold keys.
+    """
+    counts = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_n"))
+    hot = (counts.where(F.col("_n") > hot_rows).withColumn("_cold", F.lit(False))
+           .limit(MAX_HOT_KEYS + 1))
+    cold = counts.where(F.col("_n") <= hot_rows).withColumn("_cold", F.lit(True)).limit(1)
+    rows = hot.unionByName(cold).collect()
+    hot_rows_found = [r for r in rows if not r["_cold"]]
+    if len(hot_rows_found) > MAX_HOT_KEYS:
         raise ValueError("too many hot keys; raise hot_rows")
-    return rows
+    return hot_rows_found, any(r["_cold"] for r in rows)
 
 
 def with_group_ordinal(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],

@@ -121,3 +121,11 @@ def test_partition_by_class_and_symbol(spark):
     out = add_rolling_features(df, partition_cols=("asset_class", "symbol")).collect()
     assert {(r["asset_class"], r["vol_moving_avg"]) for r in out} == {("stock", 10.0),
                                                                       ("etf", 20.0)}
+
+
+def test_all_keys_hot_takes_one_path(spark):
+    df = spark.createDataFrame(_random_bars(n_symbols=3, n_rows=(30, 90), seed=2),
+                               SCHEMA + ", seq int")
+    single = _sorted(add_rolling_features(df, skew="single"))
+    all_hot = _sorted(add_rolling_features(df, hot_rows=1, chunk_rows=31))
+    assert single == all_hot
