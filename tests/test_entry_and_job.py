@@ -67,3 +67,28 @@ def test_run_job_end_to_end_and_idempotent(spark, tmp_dir):
     assert spark.read.parquet(cfg.prices_path).count() == n_prices
     assert s2["features_rows"] == n_prices
     assert spark.read.parquet(cfg.metrics_path).count() == 2
+
+
+def test_job_on_flat_per_symbol_files(spark, tmp_dir):
+    import os
+
+    from barflow.plans.daily_job import main
+
+    header = "Date,Open,High,Low,Close,Adj Close,Volume\n"
+    for cls, files in {"s": {"AAA.csv": 40, "BRK.B.csv": 35}, "e": {"EEE.csv": 31}}.items():
+        os.makedirs(f"{tmp_dir}/{cls}")
+        for name, n in files.items():
+            with open(f"{tmp_dir}/{cls}/{name}", "w") as f:
+                f.write(header + "".join(f"2020-01-{1 + i % 28:02d},1,2,0.5,1.5,{i}.5,{i * 10}\n"
+                                         if i < 28 else
+                                         f"2020-02-{i - 27:02d},1,2,0.5,1.5,{i}.5,{i * 10}\n"
+                                         for i in range(n)))
+    with open(f"{tmp_dir}/meta.csv", "w") as f:
+        f.write("Symbol,Security Name\nAAA,Triple A\nBRK,Berk\n")
+    summary = main(["--root", f"{tmp_dir}/out", "--stocks", f"{tmp_dir}/s",
+                    "--etfs", f"{tmp_dir}/e", "--meta", f"{tmp_dir}/meta.csv", "--no-train"])
+    assert {r["dataset"]: r["actual_rows"] for r in summary["reconcile"]} == {"stock": 75, "etf": 31}
+    feats = spark.read.parquet(f"{tmp_dir}/out/features")
+    assert {r[0] for r in feats.select("symbol").distinct().collect()} == {"AAA", "BRK", "EEE"}
+    last = feats.where("symbol = 'AAA' AND date = '2020-02-12'").first()
+    assert last["vol_moving_avg"] == sum(i * 10 for i in range(10, 40)) / 30
