@@ -78,17 +78,22 @@ def add_rolling_features(df: DataFrame, window_rows: int = 30,
                          volume_col: str = "volume", price_col: str = "adj_close",
                          median_method: str = "approx", rolling_mean: bool = False,
                          skew: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS,
-                         chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                         chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                         max_rows_per_key: int | None = None) -> DataFrame:
     """Add ``vol_moving_avg`` and ``adj_close_rolling_med`` in one Window.
 
     ``partition_cols=("asset_class", "symbol")`` keeps a ticker that exists in
     both classes apart on the combined table. ``tie_breaker`` columns make the
-    order total when (symbol, date) repeats.
+    order total when (symbol, date) repeats. ``max_rows_per_key``: a proven
+    upper bound on rows per key (e.g. the number of days for bars unique per
+    (symbol, day)); at or below ``hot_rows`` no key can be hot, so the
+    pre-pass is skipped.
     """
     specs = feature_specs(window_rows, volume_col, price_col, median_method,
                           rolling_mean=rolling_mean)
     return trailing_window(df, specs, partition_cols, [order_col, *tie_breaker],
-                           window_rows, skew=skew, hot_rows=hot_rows, chunk_rows=chunk_rows)
+                           window_rows, skew=skew, hot_rows=hot_rows, chunk_rows=chunk_rows,
+                           max_rows_per_key=max_rows_per_key)
 
 
 def moving_average(df: DataFrame, window_rows: int = 30, **kw) -> DataFrame:
@@ -122,14 +127,15 @@ def _single_feature(df, specs, window_rows, partition_cols=("symbol",), order_co
 def trailing_window(df: DataFrame, specs: FeatureSpec, partition_cols: Sequence[str],
                     order_cols: Sequence[str], window_rows: int, skew: str = "auto",
                     hot_rows: int = DEFAULT_HOT_ROWS,
-                    chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                    max_rows_per_key: int | None = None) -> DataFrame:
     """Apply trailing ROWS-frame features, splitting hot keys when needed."""
     if window_rows < 1:
         raise ValueError("window_rows must be >= 1")
     partition_cols, order_cols = list(partition_cols), list(order_cols)
     w = (Window.partitionBy(*partition_cols).orderBy(*order_cols)
          .rowsBetween(-(window_rows - 1), Window.currentRow))
-    if skew == "single":
+    if skew == "single" or (max_rows_per_key is not None and max_rows_per_key <= hot_rows):
         return _apply(df, specs, w)
     if skew != "auto":
         raise ValueError(f"unknown skew mode {skew!r}")

@@ -40,13 +40,18 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 W30 = "ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
 
-# The window operator's default: a pre-pass counts rows per key and splits
-# keys above hot_rows. (Bars come out of GROUP BY (symbol, day), so no symbol
-# can exceed the number of calendar days; the pre-pass is kept anyway. It
-# reads only the grouping keys, so column pruning removes the bar aggregates
-# from it and it costs about one second at sf0.1.)
+# The window operator runs with its default skew="auto". Bars come out of
+# GROUP BY (symbol, day), so no symbol can hold more bars than there are days
+# in the data; that bound (one min/max over l_shipdate) is passed as
+# max_rows_per_key, and the per-key counting pre-pass runs only if the bound
+# exceeds hot_rows. Raw rows without such a bound always get the pre-pass
+# (rolling_ticks_by_flag, daily_job_features, rolling_features_split).
 BARS_SKEW = "auto"
 
+
+def _bars_bound(spark: SparkSession, sf: str) -> dict:
+    return {"skew": BARS_SKEW, "max_rows_per_key": fx.bar_days_bound(spark, sf)}
+
 # Small tree grid for the registered training check (the job's default is the
 # reference's 5-fold grid over 50/100/150/200 trees; see PipelineConfig).
 CHECK_GRID, CHECK_FOLDS = (5, 10), 3
@@ -54,7 +59,7 @@ CHECK_GRID, CHECK_FOLDS = (5, 10), 3
 
 def _stock_features(spark: SparkSession, sf: str) -> DataFrame:
     bars = attach_security_name(fx.stock_bars(spark, sf), fx.symbol_meta(spark, sf))
-    return add_rolling_features(bars, skew=BARS_SKEW)
+    return add_rolling_features(bars, **_bars_bound(spark, sf))
 
 
 def _combined_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -63,7 +68,7 @@ def _combined_features(spark: SparkSession, sf: str) -> DataFrame:
         attach_security_name(fx.stock_bars(spark, sf), meta),
         attach_security_name(fx.etf_bars(spark, sf), meta))
     return add_rolling_features(combined, partition_cols=("asset_class", "symbol"),
-                                skew=BARS_SKEW)
+                                **_bars_bound(spark, sf))
 
 
 def _planted_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -110,11 +115,11 @@ def q_enrich_left_join(spark, sf):
 
 
 def q_moving_avg_30(spark, sf):
-    return moving_average(fx.stock_bars(spark, sf), skew=BARS_SKEW)
+    return moving_average(fx.stock_bars(spark, sf), **_bars_bound(spark, sf))
 
 
 def q_rolling_median_30(spark, sf):
-    return rolling_median(fx.etf_bars(spark, sf), skew=BARS_SKEW)
+    return rolling_median(fx.etf_bars(spark, sf), **_bars_bound(spark, sf))
 
 
 def q_rolling_mean_30(spark, sf):
@@ -122,7 +127,7 @@ def q_rolling_mean_30(spark, sf):
     # engines add exact integers (float sums are order-dependent)
     bars = fx.stock_bars(spark, sf).withColumn(
         "adj_close_cents", F.floor(F.col("adj_close").cast("double") * 100))
-    out = rolling_mean(bars, price_col="adj_close_cents", skew=BARS_SKEW)
+    out = rolling_mean(bars, price_col="adj_close_cents", **_bars_bound(spark, sf))
     return out.withColumn("adj_close_rolling_mean", F.col("adj_close_rolling_mean") / 100.0)
 
 

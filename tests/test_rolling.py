@@ -129,3 +129,24 @@ def test_all_keys_hot_takes_one_path(spark):
     single = _sorted(add_rolling_features(df, skew="single"))
     all_hot = _sorted(add_rolling_features(df, hot_rows=1, chunk_rows=31))
     assert single == all_hot
+
+
+def test_rows_per_key_bound_skips_or_keeps_the_pre_pass(spark):
+    df = spark.createDataFrame(_random_bars(n_symbols=3, n_rows=(30, 90), seed=4),
+                               SCHEMA + ", seq int")
+    single = _sorted(add_rolling_features(df, skew="single"))
+    # bound proves no key exceeds hot_rows -> plain window
+    assert _sorted(add_rolling_features(df, hot_rows=100, max_rows_per_key=90)) == single
+    # bound above hot_rows -> pre-pass runs and splits the hot keys
+    assert _sorted(add_rolling_features(df, hot_rows=20, chunk_rows=31,
+                                        max_rows_per_key=90)) == single
+
+
+def test_bar_days_bound_covers_every_symbol(spark):
+    from barflow.sources import fixtures as fx
+    from pyspark.sql import functions as F
+
+    sf = "/root/testdata/sf0.001"
+    bound = fx.bar_days_bound(spark, sf)
+    worst = fx.stock_bars(spark, sf).groupBy("symbol").count().agg(F.max("count")).first()[0]
+    assert worst <= bound
