@@ -39,7 +39,9 @@ from barflow.session import reliable_checkpoint
 DEFAULT_HOT_ROWS = 5_000_000      # a key with more rows than this is split
 DEFAULT_CHUNK_ROWS = 2_000_000    # rows per window chunk of a split key
 MAX_HOT_KEYS = 1_000_000          # bound on the collected hot-key list
-RANGE_ROWS = 2_000_000            # rows per range partition when numbering rows
+RANGE_ROWS = 20_000_000           # rows per range partition when numbering rows
+                                  # (~1 GB sorted with spill; keeps the partition
+                                  # count near 100k at 100 TB)
 
 FeatureSpec = dict[str, Callable[[WindowSpec], Column]]
 

@@ -91,4 +91,5 @@ def test_recommended_conf_scales_with_data():
     big = recommended_conf(100 << 40, total_cores=8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 64
     assert int(big["spark.sql.shuffle.partitions"]) % 8000 == 0
-    assert int(big["spark.sql.shuffle.partitions"]) * (200 << 20) >= 100 << 40
+    assert int(big["spark.sql.shuffle.partitions"]) * (512 << 20) >= 100 << 40
+    assert int(big["spark.sql.shuffle.partitions"]) <= 250_000
