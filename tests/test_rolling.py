@@ -150,3 +150,11 @@ def test_bar_days_bound_covers_every_symbol(spark):
     bound = fx.bar_days_bound(spark, sf)
     worst = fx.stock_bars(spark, sf).groupBy("symbol").count().agg(F.max("count")).first()[0]
     assert worst <= bound
+
+
+def test_global_window_without_key_is_split_too(spark):
+    rows = [("X", d, i, float(i % 7)) for i, d in enumerate(_dates(200))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    single = _sorted(add_rolling_features(df, partition_cols=(), skew="single"))
+    split = _sorted(add_rolling_features(df, partition_cols=(), hot_rows=50, chunk_rows=33))
+    assert single == split
