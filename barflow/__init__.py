@@ -5,7 +5,7 @@ declared with the DataFrame API so Catalyst can prune, push down and plan.
 Nothing runs at import time and no global session is created.
 """
 
-from barflow.config import PipelineConfig
+from barflow.config import JobConfig
 
-__all__ = ["PipelineConfig"]
+__all__ = ["JobConfig"]
 __version__ = "0.1.0"

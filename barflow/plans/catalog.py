@@ -53,7 +53,7 @@ def _bars_bound(spark: SparkSession, sf: str) -> dict:
     return {"skew": BARS_SKEW, "max_rows_per_key": fx.bar_days_bound(spark, sf)}
 
 # Small tree grid for the registered training check (the job's default is the
-# reference's 5-fold grid over 50/100/150/200 trees; see PipelineConfig).
+# reference's 5-fold grid over 50/100/150/200 trees; see JobConfig).
 CHECK_GRID, CHECK_FOLDS = (5, 10), 3
 
 
