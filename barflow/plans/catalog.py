@@ -276,10 +276,12 @@ def q_score_volume(spark, sf):
 
 
 def q_rolling_features_split(spark, sf):
-    # the hot-key split path, forced with small thresholds: every symbol
-    # (about 500 rows) counts as hot, chunks of 100 rows carry 29-row halos
+    # the hot-key split path, forced with small thresholds: symbols hold
+    # about 490-590 bars, so hot_rows=530 makes roughly half of them hot (split
+    # into chunks of 100 rows with 29-row halos) and leaves the rest on the
+    # plain window; both branches and their union run on the whole table
     bars = attach_security_name(fx.stock_bars(spark, sf), fx.symbol_meta(spark, sf))
-    return add_rolling_features(bars, skew="auto", hot_rows=300, chunk_rows=100)
+    return add_rolling_features(bars, skew="auto", hot_rows=530, chunk_rows=100)
 
 
 def q_rolling_ticks_by_flag(spark, sf):
