@@ -1,0 +1,263 @@
+"""Toxicity through class-conditional Kneser-Ney language models.
+
+Every labelled training document is counted: Spark sums word-pair counts for
+each class over the whole corpus. Words are hashed to ``2**WORD_BITS`` ids, so
+that everything a scoring task needs has a size fixed beforehand.
+
+For each class c (toxic, ordinary) the model is interpolated, with absolute
+discounts, from pairs over class continuation counts to shared ones:
+
+    P_c(w | h) = max(n(h,w) - 0.75, 0) / n(h)  +  0.75 t(h) / n(h) * P_c(w)
+    P_c(w)     = max(k_c(w) - D, 0) / k_c      +  left * P(w)
+    P(w)       = (k(w) + 1) / (k + words)
+
+``n`` counts pairs, ``t(h)`` distinct followers; ``k_c(w)`` counts the distinct
+words before w in class c, ``k(w)`` in both classes together. Counting contexts
+and not occurrences is Kneser and Ney's device; here it also keeps a text that
+is copied a thousand times from counting more than once. An expression rare in
+a class falls back on counts that the classes share (``left`` is the larger of
+the two classes' shares), and cancels out.
+
+A text is cut into windows of WINDOW words, each window's two log-likelihoods are
+divided by its length and compared, and the evidence of the text is the mean
+over the tenth of its windows (one at least) that lean most to toxic. A logistic
+curve over the evidence and the log of the length, fitted on labelled documents
+left out of the counts, gives the score; D is the value of a fixed list under
+which that curve is likeliest.
+
+A pair enters the model where its pooled count reaches a bar: the least one,
+read off a histogram of all pair counts, that leaves at most ``max_pairs`` pairs.
+The model that tasks receive is so bounded (4 bytes a word id, 12 a pair), while
+its counts cover the whole corpus; pairs below the bar use the words' counts.
+
+Defined results: null, empty and blank texts have evidence 0 and length 0, and
+score like any text; repeated rows score alike and count as often as they occur;
+unlabelled rows and null labels train nothing; without both classes in the
+training rows every score is 0.0. Columns other than text are not read.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from barflow.llm.common import Scratch, fold
+
+WORD_BITS = 20
+WORDS = 1 << WORD_BITS
+PAIR_DISCOUNT = 0.75
+DISCOUNTS = (0.75, 2.0, 4.0, 8.0, 16.0, 64.0)
+WINDOW = 4
+TRIM = b".,;:!?\"'()[]{}*%$&#"
+FLUSH = 2_000_000        # pairs that a counting task holds before it passes them on
+
+
+class WordIds:
+    """Words of texts as hashed ids; the cache of known words stays bounded."""
+
+    def __init__(self, most: int = 500_000):
+        self.known: dict[bytes, int] = {}
+        self.most = most
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        import xxhash
+
+        words = (text or "").lower().encode("utf-8", "surrogatepass").split()
+        known = self.known
+        try:
+            return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+        except KeyError:
+            if len(known) > self.most:
+                known.clear()
+            for w in words:
+                if w not in known:
+                    known[w] = xxhash.xxh32_intdigest(w.strip(TRIM) or w) & (WORDS - 1)
+            return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+
+
+def pair_keys(w: np.ndarray) -> np.ndarray:
+    """Each word with the one before it (0 before the first, else its id plus 1)."""
+    return np.r_[0, w[:-1] + 1] << WORD_BITS | w
+
+
+def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(pair, toxic, plain) counts of one task's labelled texts, held in bounded parts."""
+    ids = WordIds()
+    held: list[np.ndarray] = []
+    size = 0
+
+    def flush() -> pd.DataFrame:
+        keys, n = np.unique(np.concatenate(held), return_counts=True)   # the lowest bit: the class
+        held.clear()
+        pair, where = np.unique(keys >> 1, return_inverse=True)
+        sums = [np.bincount(where, np.where((keys & 1) == c, n, 0), len(pair)).astype(np.int64)
+                for c in (1, 0)]
+        return pd.DataFrame({"pair": pair, "toxic": sums[0], "plain": sums[1]})
+
+    for batch in batches:
+        for text, toxic in zip(batch["text"], batch["toxic"]):
+            w = ids(text)
+            if len(w):
+                held.append(pair_keys(w) << 1 | int(toxic))
+                size += len(w)
+            if size > FLUSH:
+                yield flush()
+                size = 0
+    if held:
+        yield flush()
+
+
+@dataclass
+class Model:
+    """Log-likelihood ratios of words and kept pairs for each discount; the curve."""
+
+    word: np.ndarray          # [discount, word id]
+    pairs: np.ndarray         # kept pairs, sorted
+    pair: np.ndarray          # [discount, kept pair]
+    curve: np.ndarray | None = None      # of evidence, log length, 1
+
+    def only(self, d: int, curve: np.ndarray) -> Model:
+        return Model(self.word[d:d + 1].copy(), self.pairs, self.pair[d:d + 1].copy(), curve)
+
+    def evidence(self, w: np.ndarray) -> np.ndarray:
+        """Of one text, for each discount."""
+        if not len(w):
+            return np.zeros(len(self.word))
+        ratio = self.word[:, w]
+        if len(self.pairs):
+            key = pair_keys(w)
+            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            hit = np.flatnonzero(self.pairs[at] == key)
+            ratio[:, hit] = self.pair[:, at[hit]]
+        starts = np.arange(0, len(w), WINDOW)
+        lengths = np.minimum(WINDOW, len(w) - starts)
+        windows = np.add.reduceat(ratio, starts, axis=1, dtype=np.float64) / lengths
+        most = max(1, round(len(starts) / 10))
+        return np.partition(windows, len(starts) - most, axis=1)[:, len(starts) - most:].mean(axis=1)
+
+
+def pair_bar(counts: DataFrame, max_pairs: int) -> int:
+    """The least pooled count, at least 2, that at most ``max_pairs`` pairs reach."""
+    step = F.floor(F.log2("n") * 4)
+    rows = (counts.where("n >= 2").groupBy(step.alias("step"))
+            .agg(F.count(F.lit(1)).alias("pairs")).collect())      # at most 4 x 63 rows
+    kept, bar = 0, None
+    for r in sorted(rows, key=lambda r: -r.step):
+        if kept + r.pairs > max_pairs:
+            break
+        kept, bar = kept + r.pairs, r.step
+    return 1 << 62 if bar is None else math.ceil(2 ** (bar / 4) - 1e-9)
+
+
+def fit_counts(counts: DataFrame, max_pairs: int) -> Model | None:
+    """The model from the corpus's counts (pair, toxic, plain, n).
+
+    What reaches the driver: at most WORDS rows of words, as many of contexts,
+    and ``max_pairs`` pairs.
+    """
+    bar = pair_bar(counts, max_pairs)
+    rows = (counts.groupBy((F.col("pair") % WORDS).cast("int").alias("w"))
+            .agg(F.count(F.lit(1)).alias("both"), F.count_if(F.col("toxic") > 0).alias("toxic"),
+                 F.count_if(F.col("plain") > 0).alias("plain")).toPandas())
+    k = {c: np.bincount(rows["w"], rows[c], WORDS) for c in ("both", "toxic", "plain")}
+    del rows
+    if not k["toxic"].any() or not k["plain"].any():
+        return None
+    shared = (k["both"] + 1) / (k["both"].sum() + WORDS)
+    toxic, plain = [], []
+    for d in DISCOUNTS:
+        left = max(np.minimum(k[c], d).sum() / k[c].sum() for c in ("toxic", "plain"))
+        for out, c in ((toxic, "toxic"), (plain, "plain")):
+            out.append((np.maximum(k[c] - d, 0) / k[c].sum() + left * shared).astype(np.float32))
+    toxic, plain = np.stack(toxic), np.stack(plain)
+    context = F.shiftright("pair", WORD_BITS).cast("int")
+    rows = (counts.groupBy(context.alias("h"))
+            .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"), F.max("n").alias("most"))
+            .where(F.col("most") >= bar).toPandas())
+    total = np.bincount(rows["h"], rows["n"], WORDS + 1)
+    kinds = np.bincount(rows["h"], rows["kinds"], WORDS + 1)
+    del rows
+    kept = counts.where(F.col("n") >= bar).select("pair", "n").toPandas().sort_values("pair")
+    key = kept["pair"].to_numpy()
+    h, w = key >> WORD_BITS, key & (WORDS - 1)
+    direct = (kept["n"].to_numpy() - PAIR_DISCOUNT) / total[h]
+    left = PAIR_DISCOUNT * kinds[h] / total[h]
+    pair = np.log((direct + left * toxic[:, w]) / (direct + left * plain[:, w]))
+    return Model(np.log(toxic / plain), key, pair.astype(np.float32))
+
+
+def fit_curve(x: np.ndarray, toxic: np.ndarray) -> tuple[float, np.ndarray]:
+    """Logistic regression by Newton's method: its log-likelihood, its coefficients."""
+    beta, ridge = np.zeros(x.shape[1]), 1e-3
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+        slope = x.T @ (toxic - p) - ridge * beta
+        bend = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(beta))
+        step = np.linalg.solve(bend, slope)
+        beta = beta + np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-8:
+            break
+    z = np.clip(x @ beta, -30, 30)
+    return float((toxic * z - np.log1p(np.exp(z))).sum()), beta
+
+
+def train(docs: DataFrame, labels: DataFrame, max_pairs: int = 200_000,
+          curve_rows: int = 20_000) -> Model | None:
+    """Count all labelled training rows and fit the curve; None without both classes.
+
+    Labels of documents whose crc32(doc_id) mod 5 is 0 are never read. Those with
+    remainder 4 are left out of the counts; of them at most ``curve_rows`` (by
+    hash of the id) fit the curve.
+    """
+    scratch = Scratch(docs.sparkSession, "kneser-ney")
+    part = fold(F.col("doc_id"), 5)
+    known = (labels.where("toxic is not null and doc_id is not null").where(part != 0)
+             .select("doc_id", (F.col("toxic") == 1).cast("int").alias("toxic")))
+    texts = docs.where("doc_id is not null").select("doc_id", "text")
+    counts = scratch.cut(texts.where(part.isin(1, 2, 3)).join(known.where(part != 4), "doc_id")
+                         .select("text", "toxic")
+                         .mapInPandas(counted, "pair long, toxic long, plain long")
+                         .groupBy("pair").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
+                         .withColumn("n", F.col("toxic") + F.col("plain")))
+    model = fit_counts(counts, max_pairs)
+    scratch.drop(counts)
+    if model is None:
+        return None
+    ids = known.where(part == 4).orderBy(F.xxhash64("doc_id"), "toxic").limit(curve_rows)
+    held = (texts.where(part == 4).join(ids, "doc_id")
+            .select(evidence(F.col("text"), model).alias("e"), "toxic").toPandas())
+    if held["toxic"].nunique() < 2:      # too few rows for a curve: the ratio itself
+        return model.only(0, np.array([1.0, 0.0, 0.0]))
+    rows, toxic = np.stack(held["e"].to_list()), held["toxic"].to_numpy().astype(float)
+    fits = [fit_curve(np.c_[rows[:, d], rows[:, -1], np.ones(len(rows))], toxic)
+            for d in range(len(DISCOUNTS))]
+    best = max(range(len(fits)), key=lambda d: fits[d][0])
+    return model.only(best, fits[best][1])
+
+
+def evidence(text: Column, model: Model) -> Column:
+    """array<double>: the evidence for each discount of ``model``, then the log length."""
+    @F.pandas_udf("array<double>")
+    def weigh(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        ids = WordIds()
+        for batch in texts:
+            words = [ids(t) for t in batch]
+            yield pd.Series([np.r_[model.evidence(w), np.log1p(len(w))] for w in words])
+
+    return weigh(text)
+
+
+def toxicity(text: Column, model: Model | None) -> Column:
+    """Score from 0 to 1 of each text; the text moves nowhere."""
+    if model is None:
+        return F.lit(0.0)
+    slope, length, offset = (F.lit(float(x)) for x in model.curve)
+    e = evidence(text, model)
+    return F.element_at(F.transform(F.array(e), lambda v: 1 / (1 + F.exp(F.greatest(F.lit(-500.0), F.least(
+        F.lit(500.0), -(slope * v[0] + length * v[1] + offset)))))), 1)

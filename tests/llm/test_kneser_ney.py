@@ -1,0 +1,98 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from barflow.llm.common import Scratch, fold
+from barflow.llm.kneser_ney import (DISCOUNTS, PAIR_DISCOUNT, WINDOW, WORD_BITS, WORDS, WordIds,
+                                    counted, fit_counts, toxicity, train)
+from tests.llm.samples import DOCS, SF_MID, odd_documents, with_clashes
+
+
+def test_model_matches_a_plain_kneser_ney_model(spark):
+    rng = random.Random(1)
+    vocabulary = [f"w{i}" for i in range(30)]
+    texts = [(" ".join(rng.choice(vocabulary) for _ in range(40)) + (" vile" * 3 if t else ""), t)
+             for t in [0, 1, 0, 0, 1] * 6]
+    df = spark.createDataFrame(texts, "text string, toxic int")
+    counts = Scratch(spark, "t").cut(
+        df.mapInPandas(counted, "pair long, toxic long, plain long").groupBy("pair")
+        .agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
+        .withColumn("n", F.col("toxic") + F.col("plain")))
+    model = fit_counts(counts, 10_000)
+    ids, pairs = WordIds(), [{}, {}]
+    for text, t in texts:
+        w = ids(text).tolist()
+        for h, x in zip([0] + [i + 1 for i in w], w):
+            pairs[t][h, x] = pairs[t].get((h, x), 0) + 1
+    k = [{}, {}]
+    for c in (0, 1):
+        for _, x in pairs[c]:
+            k[c][x] = k[c].get(x, 0) + 1
+    both = set(pairs[0]) | set(pairs[1])
+    kb = {}
+    for _, x in both:
+        kb[x] = kb.get(x, 0) + 1
+    for di, d in enumerate(DISCOUNTS):
+        left = max(sum(min(v, d) for v in k[c].values()) / sum(k[c].values()) for c in (0, 1))
+
+        def p(c, x):
+            return (max(k[c].get(x, 0) - d, 0) / sum(k[c].values())
+                    + left * (kb.get(x, 0) + 1) / (sum(kb.values()) + WORDS))
+
+        for x in kb:
+            assert np.isclose(model.word[di, x], np.log(p(1, x) / p(0, x)), atol=1e-3)
+        n = {hx: pairs[0].get(hx, 0) + pairs[1].get(hx, 0) for hx in both}
+        for i, key in enumerate(model.pairs):
+            h, x = key >> WORD_BITS, key & (WORDS - 1)
+            total = sum(v for (g, _), v in n.items() if g == h)
+            kinds = sum(1 for g, _ in n if g == h)
+            a, b = (n[h, x] - PAIR_DISCOUNT) / total, PAIR_DISCOUNT * kinds / total
+            assert np.isclose(model.pair[di, i], np.log((a + b * p(1, x)) / (a + b * p(0, x))), atol=1e-3)
+    assert {int(q) for q in model.pairs} == {h << WORD_BITS | x for (h, x), v in n.items() if v >= 2}
+    # evidence by hand: window means, then the mean over the highest tenth
+    words = ids(texts[1][0])
+    got = model.evidence(words)[0]
+    lookup = {int(q): model.pair[0, i] for i, q in enumerate(model.pairs)}
+    ratio = [lookup.get(int(h) << WORD_BITS | int(x), model.word[0, x])
+             for h, x in zip(np.r_[0, words[:-1] + 1], words)]
+    windows = sorted(np.mean(ratio[i:i + WINDOW]) for i in range(0, len(ratio), WINDOW))
+    most = max(1, round(len(windows) / 10))
+    assert np.isclose(got, np.mean(windows[-most:]), atol=1e-4)
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
+    model = train(docs, labels)
+    rows = (docs.join(labels, "doc_id").where(fold(F.col("doc_id"), 5) == 0)
+            .select("toxic", (toxicity(F.col("text"), model) >= 0.5).cast("int").alias("p")).collect())
+    right = sum(r.toxic == r.p for r in rows)
+    assert right >= 0.93 * len(rows)
+    # what held-out labels say does not matter to training
+    flipped = labels.withColumn("toxic", F.when(fold(F.col("doc_id"), 5) == 0, 1 - F.col("toxic"))
+                                .otherwise(F.col("toxic")))
+    again = train(docs, flipped)
+    assert np.allclose(again.word, model.word) and np.allclose(again.curve, model.curve)
+
+
+def test_odd_rows(spark):
+    docs = with_clashes(odd_documents(spark))
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(1, 12)] + [(None, 1, 1), (3, None, None)],
+                                   "doc_id long, quality int, toxic int")
+    for model in (train(docs, labels), train(docs, labels.where("toxic = 0")),
+                  train(docs.where(F.lit(False)), labels)):
+        rows = docs.select("doc_id", toxicity(F.col("text"), model).alias("s")).collect()
+        assert len(rows) == docs.count() and all(0.0 <= r.s <= 1.0 for r in rows)
+    assert docs.where(F.lit(False)).select(toxicity(F.col("text"), model)).count() == 0
+
+
+def test_a_long_text_is_scored_whole(spark):
+    docs = [(i, ("vile scum " if i % 2 else "kind words ") * 30, "en", "s", 1) for i in range(200)]
+    df = spark.createDataFrame(docs, DOCS)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    model = train(df, labels)
+    tail = "kind words " * 20000 + "vile scum " * 4000
+    s = spark.createDataFrame([(tail,), ("kind words " * 24000,)], "text string").select(
+        toxicity(F.col("text"), model).alias("s")).collect()
+    assert s[0].s > 0.5 > s[1].s
