@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
+SF_LARGE = "/root/testdata/sf0.1"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from barflow.llm.common import Scratch, fold
 from barflow.llm.kneser_ney import (DISCOUNTS, PAIR_DISCOUNT, WINDOW, WORD_BITS, WORDS, WordIds,
                                     counted, fit_counts, toxicity, train)
-from tests.llm.samples import DOCS, SF_MID, odd_documents, with_clashes
+from tests.llm.samples import DOCS, SF_LARGE, odd_documents, with_clashes
 
 
 def test_model_matches_a_plain_kneser_ney_model(spark):
@@ -62,13 +62,13 @@ def test_model_matches_a_plain_kneser_ney_model(spark):
 
 
 def test_held_out_accuracy(spark):
-    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
-    labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
+    docs = spark.read.parquet(f"{SF_LARGE}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_LARGE}/labels.parquet")
     model = train(docs, labels)
     rows = (docs.join(labels, "doc_id").where(fold(F.col("doc_id"), 5) == 0)
             .select("toxic", (toxicity(F.col("text"), model) >= 0.5).cast("int").alias("p")).collect())
     right = sum(r.toxic == r.p for r in rows)
-    assert right >= 0.93 * len(rows)
+    assert right >= 0.95 * len(rows)      # the ordinary class alone: 0.88
     # what held-out labels say does not matter to training
     flipped = labels.withColumn("toxic", F.when(fold(F.col("doc_id"), 5) == 0, 1 - F.col("toxic"))
                                 .otherwise(F.col("toxic")))
