@@ -63,3 +63,21 @@ def unused(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def ordered_spans(spans: Column, kinds: tuple[str, ...]) -> Column:
+    """Spans (start, end, kind) by start, then by the place of their kind in ``kinds``."""
+    listed = F.array(*map(F.lit, kinds))
+    return F.array_sort(F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), F.array_position(listed, s["kind"]).alias("place"),
+        s["end"].alias("end"), s["kind"].alias("kind"))))
+
+
+def listed_spans(spans: Column, kinds: tuple[str, ...]) -> Column:
+    """``kind:start:end`` of each span, comma-joined in that order."""
+    return F.array_join(F.transform(ordered_spans(spans, kinds), lambda s: F.concat_ws(
+        ":", s["kind"], s["start"], s["end"])), ",")
+
+
+def kind_count(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")

@@ -86,21 +86,7 @@ def base_spans(text: Column) -> Column:
         spans_of(text, HEX.replace("+", f"{{{MIN_HEX},}}"), "hex"))
 
 
-KIND_ORDER = ("assign", "access", "hex", "random")
-
-
-def ordered(spans: Column) -> Column:
-    """By start, then by kind in the order listed."""
-    place = lambda s: F.array_position(F.array(*map(F.lit, KIND_ORDER)), s["kind"])
-    keyed = F.transform(spans, lambda s: F.struct(
-        s["start"].alias("start"), place(s).alias("place"), s["end"].alias("end"),
-        s["kind"].alias("kind")))
-    return F.array_sort(keyed)
-
-
-def listed(spans: Column) -> Column:
-    return F.array_join(F.transform(ordered(spans), lambda s: F.concat_ws(
-        ":", s["kind"], s["start"], s["end"])), ",")
+KINDS = ("assign", "access", "hex", "random")
 
 
 # ------------------------------------------------------------ battery

@@ -4,7 +4,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from barflow.llm.secret_scan import find_spans, listed, redact
+from barflow.llm.common import listed_spans
+from barflow.llm.secret_scan import KINDS, find_spans, redact
 from tests.llm.samples import DOCS, odd_documents, with_clashes
 
 WHITE = " "
@@ -38,8 +39,8 @@ def texts():
 
 def run(spark, rows):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(rows)], DOCS)
-    return (find_spans(docs, "f").select("doc_id", "text", listed(F.col("f.base")).alias("base"),
-                                         listed(F.col("f.added")).alias("added"))
+    return (find_spans(docs, "f").select("doc_id", "text", listed_spans(F.col("f.base"), KINDS).alias("base"),
+                                         listed_spans(F.col("f.added"), KINDS).alias("added"))
             .orderBy("doc_id").collect())
 
 
