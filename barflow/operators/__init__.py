@@ -25,7 +25,6 @@ from barflow.operators.rolling import (
     rolling_mean,
     rolling_median,
     trailing_window,
-    with_group_ordinal,
 )
 from barflow.operators.score import score_guard, score_volume
 
@@ -35,5 +34,5 @@ __all__ = [
     "predict", "prepare_training_set", "preview", "reconcile_counts", "regression_metrics",
     "rolling_mean", "rolling_median", "sample_split", "save_model", "score_guard",
     "score_volume", "select_tree_count", "trailing_window", "train_and_evaluate",
-    "train_volume_model", "with_group_ordinal",
+    "train_volume_model",
 ]

@@ -5,31 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default row bound under which a join side may be broadcast. A meta table has
-# about one row per listed symbol (two short strings), far below this.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Default size under which a join side may be broadcast. A meta table has about
+# one row per listed symbol (two short strings), far below this.
+DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked size bound.
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the frame's size, from file sizes. Runs no job."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes()))
+
 
-    Counts the side (one distributed pass: partial counts per task, one row
-    per task shuffled) and hints a broadcast only when it has at most
-    ``max_rows`` rows. Otherwise the frame is returned as is and the planner /
-    AQE chooses a shuffle join (AQE may still switch to a broadcast join at
-    runtime from real shuffle sizes, and splits skewed join keys).
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only behind a checked size bound.
 
-    (``limit(max_rows + 1).count()`` is avoided on purpose: it plans a global
-    limit behind a single-partition exchange, so a large side would stream
-    through one task.)
+    The size is the optimizer's estimate: the scanned files' sizes, scaled by the
+    share of the columns read and taken whole through filters, so it errs upwards.
+    It is read while planning; no job runs. Above ``max_bytes``, and wherever the
+    estimate is unknown (then it is huge), the frame is returned as is and the
+    planner chooses a shuffle join: AQE may still broadcast a side that turns out
+    small, and splits skewed join keys.
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if planned_bytes(df) <= max_bytes else df
 
 
 def attach_security_name(prices: DataFrame, meta: DataFrame, key: str = "symbol",
                          name_col: str = "security_name",
-                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                         max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Left join ``prices`` to ``meta[key, name_col]`` on ``key``.
 
     USING semantics: the key is emitted once, first. The meta table is *not*
@@ -37,4 +39,4 @@ def attach_security_name(prices: DataFrame, meta: DataFrame, key: str = "symbol"
     left join does. Prices are never dropped (left outer).
     """
     m = meta.select(key, name_col)
-    return prices.join(bounded_broadcast(m, max_broadcast_rows), key, "left")
+    return prices.join(bounded_broadcast(m, max_broadcast_bytes), key, "left")

@@ -17,31 +17,26 @@ Semantics (kept from the reference job):
   windows; that is a file-layout artefact, not a query semantic.)
 
 Scale: a plain ``Window.partitionBy(symbol)`` puts every row of a symbol into
-one task. With ``skew="auto"`` (default) a cheap pre-pass counts rows per key;
-keys above ``hot_rows`` rows take a split path (see ``_hot_path``): exact
-per-key row numbers from a range-partitioned, checkpointed copy, then windows
-over fixed-size chunks of ``chunk_rows`` rows, each carrying a halo of the
-``window_rows - 1`` preceding rows. Every task then holds a bounded number of
-rows no matter how hot a symbol is. Results are identical to the plain window.
+one task. By default a symbol's rows are therefore split into calendar blocks of
+the order column (years, unless ``block`` says otherwise) and shuffled once, by
+(key, block). Inside a block every row but the first ``window_rows - 1`` has its
+whole frame. Those first rows and every block's last ``window_rows - 1`` rows, at
+most ``2 (window_rows - 1)`` a block, go through a second, small window by key,
+where they stand next to each other in order; it completes the first rows, also
+across blocks that hold fewer rows than a frame. No row is counted or collected
+beforehand, and results are identical to the plain window.
+
+``block=None`` asks for the plain window: one shuffle, no second window. It suits
+keys whose rows are bounded by the data model, such as bars, one a day.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-
-from barflow.session import reliable_checkpoint
-
-DEFAULT_HOT_ROWS = 5_000_000      # a key with more rows than this is split
-DEFAULT_CHUNK_ROWS = 2_000_000    # rows per window chunk of a split key
-MAX_HOT_KEYS = 1_000_000          # bound on the collected hot-key list
-RANGE_ROWS = 20_000_000           # rows per range partition when numbering rows
-                                  # (~1 GB sorted with spill; keeps the partition
-                                  # count near 100k at 100 TB)
+from pyspark.sql.types import DateType, MapType, StringType, TimestampNTZType, TimestampType
 
 FeatureSpec = dict[str, Callable[[WindowSpec], Column]]
 
@@ -79,23 +74,17 @@ def add_rolling_features(df: DataFrame, window_rows: int = 30,
                          order_col: str = "date", tie_breaker: Sequence[str] = (),
                          volume_col: str = "volume", price_col: str = "adj_close",
                          median_method: str = "approx", rolling_mean: bool = False,
-                         skew: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS,
-                         chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                         max_rows_per_key: int | None = None) -> DataFrame:
+                         block: str | Column | None = "year") -> DataFrame:
     """Add ``vol_moving_avg`` and ``adj_close_rolling_med`` in one Window.
 
     ``partition_cols=("asset_class", "symbol")`` keeps a ticker that exists in
     both classes apart on the combined table. ``tie_breaker`` columns make the
-    order total when (symbol, date) repeats. ``max_rows_per_key``: a proven
-    upper bound on rows per key (e.g. the number of days for bars unique per
-    (symbol, day)); at or below ``hot_rows`` no key can be hot, so the
-    pre-pass is skipped.
+    order total when (symbol, date) repeats. ``block``: see ``trailing_window``.
     """
     specs = feature_specs(window_rows, volume_col, price_col, median_method,
                           rolling_mean=rolling_mean)
     return trailing_window(df, specs, partition_cols, [order_col, *tie_breaker],
-                           window_rows, skew=skew, hot_rows=hot_rows, chunk_rows=chunk_rows,
-                           max_rows_per_key=max_rows_per_key)
+                           window_rows, block)
 
 
 def moving_average(df: DataFrame, window_rows: int = 30, **kw) -> DataFrame:
@@ -120,131 +109,54 @@ def rolling_mean(df: DataFrame, window_rows: int = 30, **kw) -> DataFrame:
 
 
 def _single_feature(df, specs, window_rows, partition_cols=("symbol",), order_col="date",
-                    tie_breaker=(), **kw):
+                    tie_breaker=(), block="year"):
     return trailing_window(df, specs, partition_cols, [order_col, *tie_breaker],
-                           window_rows, **kw)
+                           window_rows, block)
 
 
 # ---------------------------------------------------------------- engine
+def calendar_block(df: DataFrame, order_col: str, unit: str) -> Column:
+    """A block number or prefix that never falls as ``order_col`` rises."""
+    kind, c = df.schema[order_col].dataType, F.col(order_col)
+    if isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+        return F.date_trunc(unit, c)
+    if isinstance(kind, StringType):        # ISO dates: a prefix keeps their order
+        return F.substring(c, 1, {"year": 4, "month": 7, "day": 10}[unit])
+    raise ValueError(f"give a block expression for an order column of type {kind.simpleString()}")
+
+
 def trailing_window(df: DataFrame, specs: FeatureSpec, partition_cols: Sequence[str],
-                    order_cols: Sequence[str], window_rows: int, skew: str = "auto",
-                    hot_rows: int = DEFAULT_HOT_ROWS,
-                    chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                    max_rows_per_key: int | None = None) -> DataFrame:
-    """Apply trailing ROWS-frame features, splitting hot keys when needed."""
+                    order_cols: Sequence[str], window_rows: int,
+                    block: str | Column | None = "year") -> DataFrame:
+    """Apply trailing ROWS-frame features.
+
+    ``block``: "year", "month" or "day" of the first order column, or any
+    expression that never falls in the given order; None for the plain window.
+    """
     if window_rows < 1:
         raise ValueError("window_rows must be >= 1")
-    partition_cols, order_cols = list(partition_cols), list(order_cols)
-    w = (Window.partitionBy(*partition_cols).orderBy(*order_cols)
-         .rowsBetween(-(window_rows - 1), Window.currentRow))
-    if skew == "single" or (max_rows_per_key is not None and max_rows_per_key <= hot_rows):
-        return _apply(df, specs, w)
-    if skew != "auto":
-        raise ValueError(f"unknown skew mode {skew!r}")
-
-    hot, has_cold = _hot_keys(df, partition_cols, hot_rows)
-    if not hot:
-        return _apply(df, specs, w)
-
-    total_hot = sum(r["_n"] for r in hot)
-    if not has_cold:
-        # every key is hot (e.g. a few thousand symbols over 100 TB): one path,
-        # no hot/cold split joins
-        return _hot_path(df, specs, partition_cols, order_cols, window_rows,
-                         total_hot, chunk_rows)
-    spark = df.sparkSession
-    key_schema = df.select(*partition_cols).schema
-    hot_df = spark.createDataFrame([tuple(r[c] for c in partition_cols) for r in hot],
-                                   key_schema)
-    # the key list is bounded (each hot key holds > hot_rows rows): broadcast
-    cond = _null_safe_eq(df, hot_df, partition_cols)
-    cold = df.join(F.broadcast(hot_df), cond, "left_anti")
-    hot_rows_df = df.join(F.broadcast(hot_df), cond, "left_semi")
-    split = _hot_path(hot_rows_df, specs, partition_cols, order_cols, window_rows,
-                      total_hot, chunk_rows)
-    return _apply(cold, specs, w).unionByName(split)
+    keys, order = list(partition_cols), list(order_cols)
+    frame = (-(window_rows - 1), Window.currentRow)
+    if block is None or window_rows == 1:
+        return _apply(df, specs, Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame))
+    if isinstance(block, str):
+        block = calendar_block(df, order[0], block)
+    # rows that tie in the whole order stand in the order of a hash of their values,
+    # so that both branches place them alike
+    values = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    inside = Window.partitionBy(*keys, "_block").orderBy(*order, F.xxhash64(*values))
+    # both branches read the one shuffle by (key, block)
+    placed = (df.withColumn("_block", block)
+              .withColumns({"_place": F.row_number().over(inside)})
+              .withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_block"))))
+    halo = window_rows - 1
+    own = Window.partitionBy(*keys, "_block").orderBy("_place").rowsBetween(*frame)
+    whole = _apply(placed, specs, own).where(F.col("_place") > halo)
+    edge = placed.where((F.col("_place") <= halo) | (F.col("_place") > F.col("_rows") - halo))
+    across = Window.partitionBy(*keys).orderBy("_block", "_place").rowsBetween(*frame)
+    heads = _apply(edge, specs, across).where(F.col("_place") <= halo)
+    return whole.unionByName(heads).drop("_block", "_place", "_rows")
 
 
 def _apply(df: DataFrame, specs: FeatureSpec, w: WindowSpec) -> DataFrame:
     return df.withColumns({name: fn(w) for name, fn in specs.items()})
-
-
-def _null_safe_eq(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
-def _hot_keys(df: DataFrame, partition_cols: list[str], hot_rows: int) -> tuple[list, bool]:
-    """Keys with more than ``hot_rows`` rows, and whether any other key exists.
-
-    One action over a partial aggregation: the hot keys (bounded by
-    total_rows / hot_rows, checked against MAX_HOT_KEYS) plus at most one
-    marker row for the cold keys.
-    """
-    counts = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_n"))
-    hot = (counts.where(F.col("_n") > hot_rows).withColumn("_cold", F.lit(False))
-           .limit(MAX_HOT_KEYS + 1))
-    cold = counts.where(F.col("_n") <= hot_rows).withColumn("_cold", F.lit(True)).limit(1)
-    rows = hot.unionByName(cold).collect()
-    hot_rows_found = [r for r in rows if not r["_cold"]]
-    if len(hot_rows_found) > MAX_HOT_KEYS:
-        raise ValueError("too many hot keys; raise hot_rows")
-    return hot_rows_found, any(r["_cold"] for r in rows)
-
-
-def with_group_ordinal(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                       num_partitions: int, name: str = "_ord") -> DataFrame:
-    """Exact 1-based row number per group in ``order_cols`` order, without
-    putting a group into one task.
-
-    Range-partition on (group, order) so a large group spans many partitions,
-    sort inside partitions and checkpoint (fixes the layout, cuts lineage and
-    survives executor loss). Each partition then holds a contiguous slice of
-    the global order: count rows per (group, partition), prefix-sum those
-    counts per group (a table of at most ``#groups + num_partitions`` rows,
-    broadcast) and add each row's position inside its slice.
-    """
-    group_cols, order_cols = list(group_cols), list(order_cols)
-    keys = group_cols + order_cols
-    ranged = reliable_checkpoint(df.repartitionByRange(num_partitions, *keys)
-                                 .sortWithinPartitions(*keys))
-    indexed = (ranged.withColumn("_pid", F.spark_partition_id())
-               .withColumn("_mid", F.monotonically_increasing_id()))
-    stats = (indexed.groupBy(*group_cols, "_pid")
-             .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_m0")))
-    before = (Window.partitionBy(*group_cols).orderBy("_pid")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = stats.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], "_pid", "_m0",
-                           F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    offsets = offsets.withColumnRenamed("_pid", "_opid")
-    # contiguous ranges => at most (#groups + #partitions) rows: bounded broadcast
-    cond = reduce(lambda a, b: a & b,
-                  [indexed[c].eqNullSafe(offsets[f"_g_{c}"]) for c in group_cols],
-                  indexed["_pid"] == offsets["_opid"])
-    out = indexed.join(F.broadcast(offsets), cond)
-    return (out.withColumn(name, F.col("_off") + F.col("_mid") - F.col("_m0") + 1)
-            .drop("_pid", "_mid", "_m0", "_off", "_opid",
-                  *[f"_g_{c}" for c in group_cols]))
-
-
-def _hot_path(df: DataFrame, specs: FeatureSpec, partition_cols: list[str],
-              order_cols: list[str], window_rows: int, total_rows: int,
-              chunk_rows: int) -> DataFrame:
-    chunk_rows = max(chunk_rows, window_rows)
-    # range partitions are sized independently of the window chunks
-    min_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    parts = max(min_parts, math.ceil(total_rows / RANGE_ROWS))
-    ordered = with_group_ordinal(df, partition_cols, order_cols, parts)
-    pos = (F.col("_ord") - 1) % chunk_rows
-    base_chunk = F.floor((F.col("_ord") - 1) / chunk_rows)
-    halo = pos >= chunk_rows - (window_rows - 1)
-    # each row lives in its own chunk; the last window_rows-1 rows of a chunk
-    # are also copied into the next chunk as a halo (flag _shift = 1)
-    shifted = (ordered
-               .withColumn("_shift", F.explode(F.when(halo, F.array(F.lit(0), F.lit(1)))
-                                               .otherwise(F.array(F.lit(0)))))
-               .withColumn("_chunk", base_chunk + F.col("_shift")))
-    w = (Window.partitionBy(*partition_cols, "_chunk").orderBy("_ord")
-         .rowsBetween(-(window_rows - 1), Window.currentRow))
-    return (_apply(shifted, specs, w)
-            .where(F.col("_shift") == 0)
-            .drop("_shift", "_chunk", "_ord"))

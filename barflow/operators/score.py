@@ -12,6 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 FEATURES = ("vol_moving_avg", "adj_close_rolling_med")
 
@@ -27,19 +28,24 @@ MSG_NEGATIVE = ("Invalid Output. Please enter valid values for vol_moving_avg an
 MSG_OK = "The predicted %s volume given (%s, %s) is %d."
 
 
-def _finite(c: Column) -> Column:
-    d = c.cast("double")
+def as_number(df: DataFrame, name: str) -> Column:
+    """The column as a double; text that is no number becomes NULL instead of failing."""
+    c = F.col(name)
+    return c.try_cast("double") if df.schema[name].dataType == StringType() else c.cast("double")
+
+
+def _finite(d: Column) -> Column:
     return d.isNotNull() & ~F.isnan(d) & (F.abs(d) != F.lit(float("inf")))
 
 
-def fixed2(c: Column) -> Column:
-    """Number -> text with two decimals, truncated toward zero, built from
-    integer arithmetic (identical in every engine; no locale/rounding mode)."""
-    d = c.cast("double")
-    cents = F.floor(F.abs(d) * 100).cast("long")
-    sign = F.when(d < 0, F.lit("-")).otherwise(F.lit(""))
-    return F.concat(sign, F.floor(cents / 100).cast("long").cast("string"), F.lit("."),
-                    F.lpad((cents % 100).cast("string"), 2, "0"))
+def number_text(value: Column) -> Column:
+    """A double itself as text: the shortest digits that name it, in plain
+    notation with a fraction from 0.001 up to 1e15, in the engine's beyond."""
+    text = value.cast("string")
+    plain = F.regexp_replace(text.try_cast("decimal(38,12)").cast("string"), "0+$", "")
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    size = F.abs(value)
+    return F.when(text.contains("E") & (size < 1e15) & (size >= 1e-3), plain).otherwise(text)
 
 
 def score_guard(df: DataFrame, prediction: str = "prediction", class_col: str = "asset_class",
@@ -47,27 +53,31 @@ def score_guard(df: DataFrame, prediction: str = "prediction", class_col: str =
     """Add ``predicted_volume`` (prediction truncated toward zero), ``status``
     and ``message``.
 
-    * a feature NULL / NaN / infinite -> ``invalid_input`` (the reference's
-      typed parameters reject non-numbers);
+    * a feature that is NULL, NaN, infinite or text without a number ->
+      ``invalid_input`` (the reference's typed parameters reject non-numbers);
     * prediction NULL / NaN / infinite -> ``invalid_output``;
-    * truncated prediction < 0 -> ``negative`` (so -0.5 truncates to 0 and is
-      accepted, as in the reference);
-    * else ``ok`` with the formatted message.
+    * truncated prediction < 0 -> ``negative``, however large (so -0.5 truncates
+      to 0 and is accepted, as in the reference, and -1e30 is not);
+    * a prediction beyond the range of a bigint -> ``invalid_output``;
+    * else ``ok`` with the message, which names the given numbers. ``ok`` always
+      comes with a volume.
     """
     inputs_ok = F.lit(True)
     for f in features:
-        inputs_ok = inputs_ok & _finite(F.col(f))
-    p = F.col(prediction)
-    pv = p.cast("double").try_cast("long")
+        inputs_ok = inputs_ok & _finite(as_number(df, f))
+    p = as_number(df, prediction)
+    pv = p.try_cast("long")
     status = (F.when(~inputs_ok, F.lit(STATUS_INVALID_INPUT))
               .when(~_finite(p), F.lit(STATUS_INVALID_OUTPUT))
-              .when(pv < 0, F.lit(STATUS_NEGATIVE))
+              .when(p <= -1, F.lit(STATUS_NEGATIVE))
+              .when(pv.isNull(), F.lit(STATUS_INVALID_OUTPUT))
               .otherwise(F.lit(STATUS_OK)))
     cls = F.col(class_col) if class_col in df.columns else F.lit("stock")
+    cls = F.when(cls == "etf", F.lit("etfs")).otherwise(cls)
     msg = (F.when(status == STATUS_INVALID_INPUT, F.lit(MSG_INVALID_INPUT))
            .when(status == STATUS_OK,
-                 F.format_string(MSG_OK, cls, fixed2(F.col(features[0])),
-                                 fixed2(F.col(features[1])), pv))
+                 F.format_string(MSG_OK, cls, number_text(as_number(df, features[0])),
+                                 number_text(as_number(df, features[1])), pv))
            .otherwise(F.lit(MSG_NEGATIVE)))
     return df.withColumns({
         "predicted_volume": F.when(status == STATUS_OK, pv),
@@ -84,11 +94,15 @@ def score_volume(df: DataFrame, models: Mapping[str, object], class_col: str = "
     see ``barflow.operators.model``). One pass over the input: the features
     are assembled once, every class's booster adds its own prediction column
     (map-only), and each row keeps the one of its class. Rows whose class has
-    no model get a NULL prediction (status ``invalid_output``).
+    no model get a NULL prediction (status ``invalid_output``). Text features
+    are read as numbers; where that fails they score as missing and the guard
+    rejects the row.
     """
     from barflow.operators.model import assembler
 
-    out = assembler(features).transform(df)
+    given = {f: f"_given_{i}" for i, f in enumerate(features)}
+    out = df.withColumns({g: F.col(f) for f, g in given.items()})
+    out = assembler(features).transform(out.withColumns({f: as_number(df, f) for f in features}))
     pick = F.lit(None).cast("double")
     tmp = []
     for i, (cls, model) in enumerate(models.items()):
@@ -98,4 +112,5 @@ def score_volume(df: DataFrame, models: Mapping[str, object], class_col: str = "
         pick = F.when(F.col(class_col) == cls, F.col(col)).otherwise(pick)
         tmp.append(col)
     out = out.withColumn("prediction", pick).drop("features", *tmp)
+    out = out.withColumns({f: F.col(g) for f, g in given.items()}).drop(*given.values())
     return score_guard(out, "prediction", class_col, features)

@@ -13,15 +13,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barflow.config import JobConfig
 from barflow.functions.casts import legacy_int, normalise_date, safe_float, symbol_from_path
 from barflow.operators.combine import combine_assets, reconcile_counts
 from barflow.operators.joins import attach_security_name
 from barflow.operators.metrics import regression_metrics
-from barflow.operators.model import BoostParams, train_and_evaluate, train_volume_model
+from barflow.operators.model import (
+    BoostParams,
+    load_model,
+    predict,
+    train_and_evaluate,
+    train_volume_model,
+)
 from barflow.operators.prepare import (
     dedupe_features,
     drop_incomplete,
     prepare_training_set,
+    training_table,
 )
 from barflow.operators.preview import preview
 from barflow.operators.rolling import (
@@ -31,44 +39,40 @@ from barflow.operators.rolling import (
     rolling_median,
 )
 from barflow.operators.score import score_guard, score_volume
-from barflow.session import reliable_checkpoint, scratch_path
+from barflow.session import materialise, remove_path, scratch_path
+from barflow.sinks.parquet import append_run_metrics
 from barflow.sources import fixtures as fx
-from barflow.sources.csv_prices import clean_types, read_price_csv, write_price_csv
+from barflow.sources.csv_prices import (
+    clean_types,
+    read_price_csv,
+    write_flat_price_csv,
+    write_price_csv,
+)
 from barflow.streaming.incremental import ingest_prices_incremental
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 W30 = "ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
 
-# The window operator runs with its default skew="auto". Bars come out of
-# GROUP BY (symbol, day), so no symbol can hold more bars than there are days
-# in the data; that bound (one min/max over l_shipdate) is passed as
-# max_rows_per_key, and the per-key counting pre-pass runs only if the bound
-# exceeds hot_rows. Raw rows without such a bound always get the pre-pass
-# (rolling_ticks_by_flag, daily_job_features, rolling_features_split).
-BARS_SKEW = "auto"
+# Bars come out of GROUP BY (symbol, day): no symbol holds more of them than there
+# are days, so their queries ask for the plain window (block=None). Raw rows, and
+# the job's features, take the operator's default, which splits keys by year
+# (rolling_ticks_by_flag, rolling_features_split, daily_job_features).
 
 
-def _bars_bound(spark: SparkSession, sf: str) -> dict:
-    return {"skew": BARS_SKEW, "max_rows_per_key": fx.bar_days_bound(spark, sf)}
-
-# Small tree grid for the registered training check (the job's default is the
-# reference's 5-fold grid over 50/100/150/200 trees; see JobConfig).
-CHECK_GRID, CHECK_FOLDS = (5, 10), 3
+def _combined_bars(spark: SparkSession, sf: str) -> DataFrame:
+    return attach_security_name(
+        combine_assets(fx.stock_bars(spark, sf), fx.etf_bars(spark, sf)), fx.symbol_meta(spark, sf))
 
 
 def _stock_features(spark: SparkSession, sf: str) -> DataFrame:
     bars = attach_security_name(fx.stock_bars(spark, sf), fx.symbol_meta(spark, sf))
-    return add_rolling_features(bars, **_bars_bound(spark, sf))
+    return add_rolling_features(bars, block=None)
 
 
 def _combined_features(spark: SparkSession, sf: str) -> DataFrame:
-    meta = fx.symbol_meta(spark, sf)
-    combined = combine_assets(
-        attach_security_name(fx.stock_bars(spark, sf), meta),
-        attach_security_name(fx.etf_bars(spark, sf), meta))
-    return add_rolling_features(combined, partition_cols=("asset_class", "symbol"),
-                                **_bars_bound(spark, sf))
+    return add_rolling_features(_combined_bars(spark, sf), partition_cols=("asset_class", "symbol"),
+                                block=None)
 
 
 def _planted_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -115,11 +119,11 @@ def q_enrich_left_join(spark, sf):
 
 
 def q_moving_avg_30(spark, sf):
-    return moving_average(fx.stock_bars(spark, sf), **_bars_bound(spark, sf))
+    return moving_average(fx.stock_bars(spark, sf), block=None)
 
 
 def q_rolling_median_30(spark, sf):
-    return rolling_median(fx.etf_bars(spark, sf), **_bars_bound(spark, sf))
+    return rolling_median(fx.etf_bars(spark, sf), block=None)
 
 
 def q_rolling_mean_30(spark, sf):
@@ -127,7 +131,7 @@ def q_rolling_mean_30(spark, sf):
     # engines add exact integers (float sums are order-dependent)
     bars = fx.stock_bars(spark, sf).withColumn(
         "adj_close_cents", F.floor(F.col("adj_close").cast("double") * 100))
-    out = rolling_mean(bars, price_col="adj_close_cents", **_bars_bound(spark, sf))
+    out = rolling_mean(bars, price_col="adj_close_cents", block=None)
     return out.withColumn("adj_close_rolling_mean", F.col("adj_close_rolling_mean") / 100.0)
 
 
@@ -140,9 +144,7 @@ def q_rolling_features_combined(spark, sf):
 
 
 def q_combine_union_all(spark, sf):
-    meta = fx.symbol_meta(spark, sf)
-    return combine_assets(attach_security_name(fx.stock_bars(spark, sf), meta),
-                          attach_security_name(fx.etf_bars(spark, sf), meta))
+    return _combined_bars(spark, sf)
 
 
 def q_preview_meta(spark, sf):
@@ -150,10 +152,7 @@ def q_preview_meta(spark, sf):
 
 
 def q_reconcile_counts(spark, sf):
-    meta = fx.symbol_meta(spark, sf)
-    combined = combine_assets(attach_security_name(fx.stock_bars(spark, sf), meta),
-                              attach_security_name(fx.etf_bars(spark, sf), meta))
-    return reconcile_counts(spark, combined)
+    return reconcile_counts(spark, _combined_bars(spark, sf))
 
 
 def q_symbol_from_path(spark, sf):
@@ -197,10 +196,37 @@ def q_csv_ingest_incremental(spark, sf):
     return spark.read.parquet(f"{base}/prices")
 
 
+def _land_flat(spark, sf, base: str) -> str:
+    """Flat <SYMBOL>.csv files of the stock bars, one of them with a dotted name, and a
+    sub-directory of ETF files that a listing without recursion must not see."""
+    landing = f"{base}/landing"
+    bars = fx.stock_bars(spark, sf)
+    write_flat_price_csv(bars.where("symbol <> 'S1'"), landing)
+    write_flat_price_csv(bars.where("symbol = 'S1'"), landing, suffix=".US")
+    write_flat_price_csv(fx.etf_bars(spark, sf).withColumn("symbol", F.regexp_replace("symbol", "#", "_")),
+                         f"{landing}/archive")
+    return landing
+
+
+def q_csv_ingest_flat(spark, sf):
+    # The reference's own layout, symbol from the file's name
+    landing = _land_flat(spark, sf, scratch_path(spark, "csv_ingest_flat"))
+    return attach_security_name(clean_types(read_price_csv(spark, landing)), fx.symbol_meta(spark, sf))
+
+
+def q_csv_ingest_flat_incremental(spark, sf):
+    # S4 on flat files, 30 a micro-batch; the sink's own counts must be complete
+    base = scratch_path(spark, "csv_ingest_flat_incremental")
+    landing = _land_flat(spark, sf, base)
+    got = ingest_prices_incremental(spark, landing, fx.symbol_meta(spark, sf), f"{base}/prices",
+                                    f"{base}/_checkpoint", asset_class="stock", files_per_trigger=30)
+    out = spark.read.parquet(f"{base}/prices")
+    return out.withColumn("counted_rows", F.lit(got["rows"]).cast("long"))
+
+
 def q_daily_job_features(spark, sf):
-    # D1 up to the feature table: land CSVs, ingest both classes, reconcile
-    # counts while writing, rolling features with the default skew="auto"
-    # (pre-pass on the written table), written and read back
+    # D1 up to the feature table: land CSVs, ingest both classes, reconcile counts while
+    # writing, rolling features with the operator's defaults, written and read back
     from barflow.plans.daily_job import land_fixture_csv, run_job
 
     cfg = land_fixture_csv(spark, sf, scratch_path(spark, "daily_job"))
@@ -229,72 +255,121 @@ def q_metrics_naive(spark, sf):
     return regression_metrics(f, label="volume", prediction="vol_moving_avg", scale=100)
 
 
+def q_metrics_large(spark, sf):
+    # volumes near the top of an int: the scaled sums are far beyond a bigint
+    f = drop_incomplete(_combined_features(spark, sf)).withColumns({
+        "volume": F.col("volume").cast("long") * 900_001,
+        "vol_moving_avg": F.floor(F.col("vol_moving_avg")) * 900_001.0})
+    return regression_metrics(f, label="volume", prediction="vol_moving_avg", scale=100)
+
+
+def q_metrics_job(spark, sf):
+    # the branch that the training job uses; sums of doubles depend on their order in
+    # the last digits, so the key rounds
+    f = drop_incomplete(_combined_features(spark, sf))
+    m = regression_metrics(f, label="volume", prediction="vol_moving_avg")
+    return m.select("asset_class", "n", *[F.round(c, 4).alias(c) for c in ("mae", "mse", "rmse", "r2")])
+
+
 def _stand_in_prediction(df: DataFrame) -> DataFrame:
     return df.withColumn("prediction",
                          F.col("vol_moving_avg") - F.col("adj_close_rolling_med") / 1600.0)
 
 
-def q_score_guard(spark, sf):
-    # every row kept; the guard's edge cases are planted by calendar day:
-    # NaN / infinite predictions, -0.5 (truncates to an accepted 0) and a
-    # NaN input feature (the same rule is written in the oracle SQL)
+# What score_guard plants, by day of the month. (day, prediction)
+PLANTED_PREDICTIONS = (("01", "NaN"), ("02", "Infinity"), ("03", "-0.5"), ("08", "1e30"), ("09", "-1e30"),
+                       ("10", "-1.0"), ("11", "9.3e18"), ("12", "-0.999"))
+# (day, text of vol_moving_avg)
+PLANTED_INPUTS = (("04", "NaN"), ("05", "abc"), ("06", ""), ("13", "1.15"), ("14", "0.29"), ("15", "-0.5"),
+                  ("16", "-0.001"), ("17", "12345678.25"), ("18", "7"))
+
+
+def _planted_requests(spark, sf) -> DataFrame:
+    """Requests with vol_moving_avg as text, as it comes over the wire."""
     f = _stand_in_prediction(_combined_features(spark, sf))
     day = F.substring("date", 9, 2)
-    f = f.withColumns({
-        "prediction": F.when(day == "01", F.lit(float("nan")))
-                       .when(day == "02", F.lit(float("inf")))
-                       .when(day == "03", F.lit(-0.5))
-                       .otherwise(F.col("prediction")),
-        "vol_moving_avg": F.when(day == "04", F.lit(float("nan")))
-                           .otherwise(F.col("vol_moving_avg")),
-    })
-    return score_guard(f).select("asset_class", "symbol", "date",
-                                 "predicted_volume", "status", "message")
+    prediction, given = F.col("prediction"), F.col("vol_moving_avg").cast("string")
+    for d, v in PLANTED_PREDICTIONS:
+        prediction = F.when(day == d, F.lit(float(v.replace("Infinity", "inf")))).otherwise(prediction)
+    for d, v in PLANTED_INPUTS:
+        given = F.when(day == d, F.lit(v)).otherwise(given)
+    return f.withColumns({"prediction": prediction, "vol_moving_avg": given})
 
 
-def _prepared_by_class(spark, sf):
-    f = _combined_features(spark, sf)
-    return {c: reliable_checkpoint(prepare_training_set(f.where(F.col("asset_class") == c)))
-            for c in ("stock", "etf")}
+def q_score_guard(spark, sf):
+    return score_guard(_planted_requests(spark, sf)).select(
+        "asset_class", "symbol", "date", "predicted_volume", "status", "message")
+
+
+def _training_tables(spark, sf) -> dict[str, DataFrame]:
+    features, path = materialise(_combined_features(spark, sf), "features")
+    out = {c: training_table(features.where(F.col("asset_class") == c), scratch_path(spark, f"training-{c}"))
+           for c in ("stock", "etf")}
+    remove_path(spark, path)
+    return out
 
 
 def q_train_eval(spark, sf):
+    # M3-M8, K5, S9, K6 with the reference's grid. What a trained model gives is no
+    # fixed number, so the key reports the exact sizes and whether each rule holds.
+    base = scratch_path(spark, "train_eval")
     out = None
-    for cls, prep in _prepared_by_class(spark, sf).items():
-        _, m = train_and_evaluate(prep, cls, CHECK_GRID, CHECK_FOLDS)
-        out = m if out is None else out.unionByName(m)
+    for cls, prepared in _training_tables(spark, sf).items():
+        grid = JobConfig.tree_grid
+        model, m, curves = train_and_evaluate(prepared, cls, grid, JobConfig.cv_folds,
+                                              model_path=f"{base}/models/{cls}", parallelism=JobConfig.cv_folds)
+        append_run_metrics(spark, m, f"{base}/metrics")
+        row, rounds = m.first(), curves.collect()
+        test = prepared.where("split = 'test'")
+        naive = regression_metrics(test, label="volume", prediction="vol_moving_avg").first()["mae"]
+        again = predict(load_model(f"{base}/models/{cls}"), test).select("symbol", "date", "prediction")
+        same = predict(model, test).select("symbol", "date", "prediction").exceptAll(again).isEmpty()
+        logged = spark.read.parquet(f"{base}/metrics").where(F.col("asset_class") == cls).count()
+        checks = spark.createDataFrame([(
+            cls, row["train_rows"], row["test_rows"], row["n_trees"] in grid, len(rounds) == row["n_trees"],
+            row["best_iteration"] == min(rounds, key=lambda r: (r["train_mae"], r["iteration"]))["iteration"],
+            abs(rounds[-1]["test_mae"] - row["mae"]) <= 1e-6 * max(1.0, row["mae"]),
+            row["mae"] <= row["mean_mae"], row["mae"] <= 1.05 * naive, same, logged)],
+            "asset_class string, train_rows long, test_rows long, trees_in_grid boolean, "
+            "curve_is_whole boolean, best_is_argmin boolean, curve_ends_at_mae boolean, "
+            "beats_mean boolean, near_naive boolean, loaded_model_is_equal boolean, logged_rows long")
+        out = checks if out is None else out.unionByName(checks)
     return out
 
 
 def q_score_volume(spark, sf):
-    models = {cls: train_volume_model(prep.where(F.col("split") == "train"), CHECK_GRID[0],
-                                      BoostParams())
-              for cls, prep in _prepared_by_class(spark, sf).items()}
-    scored = score_volume(_combined_features(spark, sf), models)
-    return scored.select("asset_class", "symbol", "date", "prediction", "predicted_volume",
-                         "status", "message")
+    # M4, M9: one model per class with the grid's smallest tree count and the job's final
+    # depth; every row is scored, with vol_moving_avg as text, and held to the rules
+    models = {cls: train_volume_model(t.where("split = 'train'"), JobConfig.tree_grid[0], BoostParams())
+              for cls, t in _training_tables(spark, sf).items()}
+    requests = _combined_features(spark, sf).withColumn("vol_moving_avg", F.col("vol_moving_avg").cast("string"))
+    s = score_volume(requests, models)
+    p, whole = F.col("prediction"), F.expr("try_cast(prediction AS bigint)")
+    return s.select(
+        "asset_class", "symbol", "date", p.isNotNull().alias("scored"),
+        F.when(p <= -1, F.col("predicted_volume").isNull()).otherwise(F.col("predicted_volume") == whole)
+        .alias("volume_is_truncated"),
+        (F.col("status") == F.when(p <= -1, "negative").otherwise("ok")).alias("status_fits"),
+        F.when(p <= -1, F.col("message").startswith("Invalid Output."))
+        .otherwise(F.col("message").endswith(F.concat(F.lit(" is "), whole.cast("string"), F.lit("."))))
+        .alias("message_fits"))
 
 
 def q_rolling_features_split(spark, sf):
-    # the hot-key split path, forced with small thresholds: symbols hold
-    # about 490-590 bars, so hot_rows=530 makes roughly half of them hot (split
-    # into chunks of 100 rows with 29-row halos) and leaves the rest on the
-    # plain window; both branches and their union run on the whole table
+    # the default window, which splits each symbol by year
     bars = attach_security_name(fx.stock_bars(spark, sf), fx.symbol_meta(spark, sf))
-    return add_rolling_features(bars, skew="auto", hot_rows=530, chunk_rows=100)
+    return add_rolling_features(bars)
 
 
 def q_rolling_ticks_by_flag(spark, sf):
-    # genuinely skewed input: every line item is a tick keyed by its return
-    # flag, and each of the three flags holds a third of all rows. Ordered by
-    # ship date + the 6-column line key (unique), trailing 30 rows. Split
-    # thresholds scaled to test size so the hot-key path runs on every flag.
+    # genuinely skewed input: every line item is a tick keyed by its return flag, and
+    # each of the three flags holds a third of all rows. Ordered by ship date + the
+    # 6-column line key (unique), trailing 30 rows, default blocks.
     li = fx.table(spark, sf, "lineitem").select(
         "l_returnflag", "l_shipdate", *fx.LINE_ORDER_KEY, "l_quantity")
     out = add_rolling_features(li, partition_cols=("l_returnflag",), order_col="l_shipdate",
                                tie_breaker=fx.LINE_ORDER_KEY, volume_col="l_quantity",
-                               price_col="l_extendedprice", hot_rows=10_000,
-                               chunk_rows=4_096)
+                               price_col="l_extendedprice")
     return out.withColumnsRenamed({"vol_moving_avg": "qty_moving_avg",
                                    "adj_close_rolling_med": "price_rolling_med"})
 
@@ -305,6 +380,8 @@ SPARK_QUERIES: dict[str, QueryFn] = {
     "normalise_date": q_normalise_date,
     "csv_ingest": q_csv_ingest,
     "csv_ingest_incremental": q_csv_ingest_incremental,
+    "csv_ingest_flat": q_csv_ingest_flat,
+    "csv_ingest_flat_incremental": q_csv_ingest_flat_incremental,
     "enrich_left_join": q_enrich_left_join,
     "moving_avg_30": q_moving_avg_30,
     "rolling_median_30": q_rolling_median_30,
@@ -319,6 +396,8 @@ SPARK_QUERIES: dict[str, QueryFn] = {
     "dedupe_features": q_dedupe_features,
     "sample_split": q_sample_split,
     "metrics_naive": q_metrics_naive,
+    "metrics_large": q_metrics_large,
+    "metrics_job": q_metrics_job,
     "score_guard": q_score_guard,
     "train_eval": q_train_eval,
     "score_volume": q_score_volume,
@@ -433,11 +512,9 @@ CASE WHEN regexp_matches(t, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$') THEN
        ELSE TRY_CAST(split_part(t, '.', 1) AS INTEGER) END END"""
 
 
-def _fixed2(x: str) -> str:
-    cents = f"CAST(floor(abs(CAST({x} AS DOUBLE)) * 100) AS BIGINT)"
-    return (f"(CASE WHEN {x} < 0 THEN '-' ELSE '' END || "
-            f"CAST(CAST(floor({cents} / 100) AS BIGINT) AS VARCHAR) || '.' || "
-            f"lpad(CAST({cents} % 100 AS VARCHAR), 2, '0'))")
+def _planted_case(cells, otherwise: str, wrap: str) -> str:
+    return ("CASE " + " ".join(f"WHEN substr(date, 9, 2) = '{d}' THEN " + wrap.format(v) for d, v in cells)
+            + f" ELSE {otherwise} END")
 
 
 ORACLE_SQL.update({
@@ -494,34 +571,68 @@ SELECT asset_class, n,
                  (100.0::DOUBLE * (CAST(n AS DOUBLE) * CAST(syy AS DOUBLE)
                                    - CAST(sy AS DOUBLE) * CAST(sy AS DOUBLE))) END AS r2
 FROM a""",
+    # the oracle formats a number by its own cast to text, not by the operator's route
     "score_guard": _CTE + _ENRICHED + _FEATURES + f"""
-, p0 AS (SELECT * REPLACE (CAST(vol_moving_avg AS DOUBLE) AS vol_moving_avg),
-                  CAST(vol_moving_avg AS DOUBLE) - CAST(adj_close_rolling_med AS DOUBLE) / 1600.0::DOUBLE
-                  AS prediction0 FROM combined_features)
-, p AS (SELECT * REPLACE (CASE WHEN substr(date, 9, 2) = '04' THEN CAST('NaN' AS DOUBLE)
-                               ELSE vol_moving_avg END AS vol_moving_avg),
-               CASE WHEN substr(date, 9, 2) = '01' THEN CAST('NaN' AS DOUBLE)
-                    WHEN substr(date, 9, 2) = '02' THEN CAST('inf' AS DOUBLE)
-                    WHEN substr(date, 9, 2) = '03' THEN -0.5::DOUBLE
-                    ELSE prediction0 END AS prediction
-        FROM p0)
+, p0 AS (SELECT asset_class, symbol, date, adj_close_rolling_med AS med,
+                {_planted_case(PLANTED_INPUTS, "CAST(vol_moving_avg AS VARCHAR)", "'{}'")} AS given,
+                {_planted_case(PLANTED_PREDICTIONS, "CAST(vol_moving_avg AS DOUBLE) - CAST(adj_close_rolling_med AS DOUBLE) / 1600.0::DOUBLE", "CAST('{}' AS DOUBLE)")} AS prediction
+         FROM combined_features)
+, p AS (SELECT *, TRY_CAST(given AS DOUBLE) AS avg_volume FROM p0)
 , s AS (SELECT *, TRY_CAST(trunc(prediction) AS BIGINT) AS pv,
-          CASE WHEN NOT (vol_moving_avg IS NOT NULL AND NOT isnan(vol_moving_avg) AND NOT isinf(vol_moving_avg)
-                     AND adj_close_rolling_med IS NOT NULL AND NOT isnan(adj_close_rolling_med)
-                     AND NOT isinf(adj_close_rolling_med)) THEN 'invalid_input'
-               WHEN prediction IS NULL OR isnan(prediction) OR isinf(prediction) THEN 'invalid_output'
-               WHEN TRY_CAST(trunc(prediction) AS BIGINT) < 0 THEN 'negative'
+          CASE WHEN avg_volume IS NULL OR NOT isfinite(avg_volume) OR med IS NULL OR NOT isfinite(med)
+               THEN 'invalid_input'
+               WHEN prediction IS NULL OR NOT isfinite(prediction) THEN 'invalid_output'
+               WHEN trunc(prediction) < 0 THEN 'negative'
+               WHEN TRY_CAST(trunc(prediction) AS BIGINT) IS NULL THEN 'invalid_output'
                ELSE 'ok' END AS status
         FROM p)
 SELECT asset_class, symbol, date,
        CASE WHEN status = 'ok' THEN pv END AS predicted_volume, status,
-       CASE WHEN status = 'invalid_input' THEN 'Invalid input. Please enter numeric values for vol_moving_avg and adj_close_rolling_med.'
-            WHEN status = 'ok' THEN 'The predicted ' || asset_class || ' volume given (' ||
-                 {_fixed2('vol_moving_avg')} || ', ' || {_fixed2('adj_close_rolling_med')} ||
-                 ') is ' || CAST(pv AS VARCHAR) || '.'
+       CASE status WHEN 'invalid_input' THEN 'Invalid input. Please enter numeric values for vol_moving_avg and adj_close_rolling_med.'
+            WHEN 'ok' THEN printf('The predicted %s volume given (%s, %s) is %d.',
+                 CASE asset_class WHEN 'etf' THEN 'etfs' ELSE asset_class END,
+                 CAST(avg_volume AS VARCHAR), CAST(CAST(med AS DOUBLE) AS VARCHAR), pv)
             ELSE 'Invalid Output. Please enter valid values for vol_moving_avg and adj_close_rolling_med.'
        END AS message
 FROM s""",
+    "metrics_job": _CTE + _ENRICHED + _FEATURES + f"""
+, e AS (SELECT asset_class, CAST(volume AS DOUBLE) AS y,
+               CAST(volume AS DOUBLE) - CAST(vol_moving_avg AS DOUBLE) AS err
+        FROM combined_features WHERE {_COMPLETE_COMBINED})
+SELECT asset_class, count(*) AS n, round(avg(abs(err)), 4) AS mae, round(avg(err * err), 4) AS mse,
+       round(sqrt(avg(err * err)), 4) AS rmse,
+       round(1.0::DOUBLE - sum(err * err) / (count(*) * var_pop(y)), 4) AS r2
+FROM e GROUP BY asset_class""",
+    "metrics_large": _CTE + _ENRICHED + _FEATURES + f"""
+, e AS (SELECT asset_class, CAST(volume AS HUGEINT) * 900001 AS y,
+               CAST(volume AS DOUBLE) * 900001 - floor(vol_moving_avg) * 900001.0::DOUBLE AS err
+        FROM combined_features WHERE {_COMPLETE_COMBINED})
+, a AS (SELECT asset_class, count(*) AS n, CAST(CAST(sum(CAST(floor(abs(err) * 100.0::DOUBLE) AS HUGEINT)) AS VARCHAR) AS DOUBLE) AS sae,
+               CAST(CAST(sum(CAST(floor(err * err * 100.0::DOUBLE) AS HUGEINT)) AS VARCHAR) AS DOUBLE) AS sse,
+               CAST(CAST(sum(y) AS VARCHAR) AS DOUBLE) AS sy,
+               CAST(CAST(sum(y * y) AS VARCHAR) AS DOUBLE) AS syy
+        FROM e GROUP BY asset_class)
+SELECT asset_class, n, sae / (100.0::DOUBLE * n) AS mae, sse / (100.0::DOUBLE * n) AS mse,
+       sqrt(sse / (100.0::DOUBLE * n)) AS rmse,
+       1.0::DOUBLE - (sse * n) / (100.0::DOUBLE * (n * syy - sy * sy)) AS r2
+FROM a""",
+    "csv_ingest_flat": _CTE + _ENRICHED + "SELECT * FROM stocks_named",
+    "csv_ingest_flat_incremental": _CTE + _ENRICHED +
+    "SELECT *, 'stock' AS asset_class, count(*) OVER () AS counted_rows FROM stocks_named",
+    "train_eval": _CTE + _ENRICHED + _FEATURES + f"""
+, d AS (SELECT asset_class, count(*) AS n FROM (
+          SELECT DISTINCT asset_class, vol_moving_avg, adj_close_rolling_med, volume
+          FROM combined_features WHERE {_COMPLETE_COMBINED}) GROUP BY asset_class)
+SELECT asset_class, CAST(floor(0.8 * floor(n * 0.5)) AS BIGINT) AS train_rows,
+       CAST(floor(n * 0.5) - floor(0.8 * floor(n * 0.5)) AS BIGINT) AS test_rows,
+       true AS trees_in_grid, true AS curve_is_whole, true AS best_is_argmin, true AS curve_ends_at_mae,
+       true AS beats_mean, true AS near_naive, true AS loaded_model_is_equal,
+       CAST(1 AS BIGINT) AS logged_rows
+FROM d""",
+    "score_volume": _CTE + _ENRICHED + """
+SELECT asset_class, symbol, date, true AS scored, true AS volume_is_truncated, true AS status_fits,
+       true AS message_fits
+FROM combined_named""",
     "rolling_features_split": ORACLE_SQL["rolling_features"],
     "daily_job_features": ORACLE_SQL["rolling_features_combined"],
     "rolling_ticks_by_flag": f"""

@@ -6,6 +6,9 @@ Library operators never create a session; they take the one they are given.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -19,6 +22,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -50,17 +54,19 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir; set a local one only when unset
-    (tests, single-machine runs). On a cluster, ``spark.checkpoint.dir`` is
-    expected to name a shared folder and is never overridden."""
+    """Return the session's checkpoint dir; a local one is made only for a local
+    master (tests, single-machine runs), and removed when Python exits. On a cluster
+    ``spark.checkpoint.dir`` must name a shared folder: executors would each write
+    a machine-local one to a disk of their own."""
     d = checkpoint_dir(spark)
     if d:
         return d
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a shared folder (master {master!r})")
     d = tempfile.mkdtemp(prefix="barflow-ckpt-")
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:
-        spark.conf.set("spark.checkpoint.dir", d)
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(d)
     return checkpoint_dir(spark) or d
 
 
@@ -71,8 +77,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/barflow-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def materialise(df, name: str):
+    """``df`` written once, columnar, to a scratch table and read back, and its path."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table wherever its file system is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def reliable_checkpoint(df, eager: bool = True):
     """``df.checkpoint()`` into the session's shared checkpoint dir (set for
-    tests only when missing). Cuts lineage; files survive executor loss."""
+    tests only when missing). Cuts lineage; files survive executor loss, and
+    Spark removes them with the frame where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)

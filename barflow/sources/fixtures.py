@@ -64,13 +64,13 @@ def stock_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bars(li, F.col("l_suppkey"), F.concat(F.lit("S"), F.col("_key").cast("string")))
 
 
-def etf_bars(spark: SparkSession, sf_dir: str, max_broadcast_rows: int = 5_000_000) -> DataFrame:
+def etf_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_brand")
-    # part grows with the scale factor: broadcast only below a checked row
-    # bound, otherwise a shuffle join (AQE splits skewed part keys).
-    joined = li.join(bounded_broadcast(part, max_broadcast_rows), "l_partkey")
+    # part grows with the scale factor: broadcast only below a checked size,
+    # otherwise a shuffle join (AQE splits skewed part keys).
+    joined = li.join(bounded_broadcast(part), "l_partkey")
     return _bars(joined, F.col("p_brand"), F.col("_key"))
 
 
@@ -89,16 +89,6 @@ def symbol_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sup.unionByName(brands)
 
 
-def bar_days_bound(spark: SparkSession, sf_dir: str) -> int:
-    """Upper bound on bars per symbol: bars are unique per (symbol, day), so
-    no symbol has more bars than there are days between the first and last
-    ship date. One aggregate over one column (partial per task)."""
-    r = (table(spark, sf_dir, "lineitem")
-         .agg(F.datediff(F.max(F.to_date("l_shipdate")), F.min(F.to_date("l_shipdate")))
-              .alias("span")).first())
-    return 0 if r is None or r["span"] is None else int(r["span"]) + 1
-
-
 def asset_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both classes in one frame with an ``asset_class`` column."""
     return (stock_bars(spark, sf_dir).withColumn("asset_class", F.lit("stock"))

@@ -45,7 +45,7 @@ def test_score_guard_probes(spark):
     assert [r["status"] for r in out] == ["invalid_output", "ok", "negative", "ok",
                                           "invalid_output", "invalid_output"]
     assert [r["predicted_volume"] for r in out] == [None, 0, None, 7, None, None]
-    assert out[3]["message"] == "The predicted stock volume given (10.00, 2.00) is 7."
+    assert out[3]["message"] == "The predicted stock volume given (10.0, 2.0) is 7."
 
 
 def test_score_guard_rejects_bad_inputs(spark):
@@ -56,6 +56,51 @@ def test_score_guard_rejects_bad_inputs(spark):
     assert {r["status"] for r in score_guard(df).collect()} == {"invalid_input"}
 
 
+def test_score_guard_takes_text_and_names_the_numbers(spark):
+    cases = [("1.15", 5.0, "ok", "(1.15, 2.0) is 5"), ("0.29", 5.0, "ok", "(0.29, 2.0) is 5"),
+             ("-0.001", 5.0, "ok", "(-0.001, 2.0)"), ("12345678.25", 5.0, "ok", "(12345678.25, 2.0)"),
+             ("100000000", 5.0, "ok", "(100000000.0, 2.0)"), ("abc", 5.0, "invalid_input", "Invalid input."),
+             ("", 5.0, "invalid_input", "Invalid input."), ("NaN", 5.0, "invalid_input", "Invalid input."),
+             ("1", 1e30, "invalid_output", "Invalid Output."), ("1", -1e30, "negative", "Invalid Output."),
+             ("1", -0.999, "ok", "is 0."), ("1", -1.0, "negative", "Invalid Output.")]
+    df = spark.createDataFrame([("etf", a, 2.0, p) for a, p, *_ in cases],
+                               "asset_class string, vol_moving_avg string, "
+                               "adj_close_rolling_med double, prediction double")
+    for r, (_, _, status, part) in zip(score_guard(df).collect(), cases):
+        assert r["status"] == status and part in r["message"]
+        assert (r["predicted_volume"] is not None) == (status == "ok")
+        assert "etfs" in r["message"] or status != "ok"
+
+
+def test_scaled_metrics_far_beyond_a_bigint(spark):
+    rows = [("stock", 2_000_000_000 + i, 1.0) for i in range(5)] + [("etf", 50_000_000 + i, 0.0) for i in range(4000)]
+    df = spark.createDataFrame(rows, "asset_class string, volume int, prediction double")
+    got = {r["asset_class"]: r for r in regression_metrics(df, scale=100).collect()}
+    for cls in ("stock", "etf"):
+        y = [v for c, v, _ in rows if c == cls]
+        p = [v for c, _, v in rows if c == cls]
+        assert got[cls]["mse"] == pytest.approx(sum((a - b) ** 2 for a, b in zip(y, p)) / len(y), rel=1e-12)
+        assert got[cls]["mae"] == pytest.approx(sum(abs(a - b) for a, b in zip(y, p)) / len(y), rel=1e-12)
+
+
+def test_both_sinks_overwrite_alike_under_either_session_mode(spark, tmp_dir):
+    from barflow.sinks.parquet import write_dataset
+    both = spark.createDataFrame([("stock", 1), ("etf", 2), ("etf", 3), ("bond", 4)], "asset_class string, volume int")
+    for mode in ("static", "dynamic"):
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        try:
+            a, b = f"{tmp_dir}/{mode}-prices", f"{tmp_dir}/{mode}-features"
+            first = {r["dataset"]: r for r in reconcile_counts(spark, both, a).collect()}
+            assert first["<other>"]["ok"] and first["<other>"]["expected_rows"] == 1
+            write_dataset(both, b)
+            again = both.where("asset_class = 'stock'")
+            assert [r["ok"] for r in reconcile_counts(spark, again, a).collect()] == [True]
+            write_dataset(again, b)
+            assert spark.read.parquet(a).count() == spark.read.parquet(b).count() == 4
+        finally:
+            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
 def test_combine_by_name_and_schema_mismatch(spark):
     a = spark.createDataFrame([("A", 1)], "symbol string, volume int")
     b = spark.createDataFrame([(2, "B")], "volume int, symbol string")

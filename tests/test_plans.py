@@ -39,14 +39,58 @@ def test_scoring_and_guard_add_no_shuffle(spark):
     assert "Exchange" not in _plan(score_guard(base))
 
 
-def test_sample_split_has_no_global_sort_of_rows(spark):
+def test_sample_split_moves_no_rows_but_ties(spark):
     from barflow.operators.prepare import sample_split
 
     df = spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr(
         "CAST(l_suppkey AS STRING) AS symbol", "CAST(l_orderkey AS STRING) AS date",
         "l_linenumber")
     plan = _plan(sample_split(df, checkpoint=False))
-    # the only single-partition exchange feeds the window over bucket counts
-    single = plan.count("SinglePartition")
-    assert single >= 1
-    assert "RangePartitioning" not in plan
+    assert "RangePartitioning" not in plan and "SinglePartition" not in plan and "Join" not in plan
+    assert len(re.findall(r"Arguments: hashpartitioning", plan)) <= 1          # of the cut-offs' own keys
+
+
+def test_building_the_features_runs_no_job(spark):
+    """Schema reads aside: the joins decide from file sizes."""
+    queries = E.queries()
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    for key, tables in (("rolling_features", 3), ("rolling_features_combined", 5)):
+        sc.setJobGroup(f"build-{key}", key)
+        try:
+            df = queries[key](spark, SF)
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        assert len(list(tracker.getJobIdsForGroup(f"build-{key}"))) <= tables      # one schema read a table
+    plan = _plan(df)
+    tree = plan.split("\n\n")[0]
+    assert tree.count("BroadcastHashJoin LeftOuter BuildRight") == 1             # the meta, once
+
+
+def test_scratch_needs_a_shared_folder_unless_local():
+    import pytest
+
+    from barflow import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else default
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_scratch_tables_can_be_removed(spark):
+    from barflow.session import materialise, remove_path
+
+    df, path = materialise(spark.range(10), "gone")
+    assert df.count() == 10
+    remove_path(spark, path)
+    import os
+    assert not os.path.exists(path.removeprefix("file:"))

@@ -82,27 +82,24 @@ def _random_bars(n_symbols=6, n_rows=(40, 400), seed=7, dup_dates=False):
 @pytest.mark.parametrize("median_method", ["approx", "exact"])
 def test_split_path_equals_single_window(spark, median_method):
     df = spark.createDataFrame(_random_bars(), SCHEMA + ", seq int")
-    single = add_rolling_features(df, skew="single", median_method=median_method)
-    split = add_rolling_features(df, skew="auto", hot_rows=50, chunk_rows=37,
-                                 median_method=median_method)
-    a = _sorted(single)
-    b = _sorted(split)
-    assert a == b
+    single = _sorted(add_rolling_features(df, block=None, median_method=median_method))
+    for block in ("year", "month", "day", F.lit(0)):      # many rows a block down to one
+        assert _sorted(add_rolling_features(df, block=block, median_method=median_method)) == single
 
 
 def test_split_path_with_tie_breaker(spark):
     # repeated (symbol, date): the tie breaker makes the ROWS order total
     df = spark.createDataFrame(_random_bars(dup_dates=True, seed=3), SCHEMA + ", seq int")
     kw = dict(tie_breaker=("seq",))
-    a = add_rolling_features(df, skew="single", **kw).orderBy("symbol", "seq").collect()
-    b = add_rolling_features(df, hot_rows=30, chunk_rows=40, **kw).orderBy("symbol", "seq").collect()
+    a = add_rolling_features(df, block=None, **kw).orderBy("symbol", "seq").collect()
+    b = add_rolling_features(df, block="month", **kw).orderBy("symbol", "seq").collect()
     assert a == b
 
 
 def test_exact_and_approx_median_agree_on_30_rows(spark):
     df = spark.createDataFrame(_random_bars(seed=11), SCHEMA + ", seq int")
-    a = add_rolling_features(df, skew="single", median_method="approx")
-    b = add_rolling_features(df, skew="single", median_method="exact")
+    a = add_rolling_features(df, block=None, median_method="approx")
+    b = add_rolling_features(df, block=None, median_method="exact")
     assert _sorted(a) == _sorted(b)
 
 
@@ -123,38 +120,55 @@ def test_partition_by_class_and_symbol(spark):
                                                                       ("etf", 20.0)}
 
 
-def test_all_keys_hot_takes_one_path(spark):
-    df = spark.createDataFrame(_random_bars(n_symbols=3, n_rows=(30, 90), seed=2),
-                               SCHEMA + ", seq int")
-    single = _sorted(add_rolling_features(df, skew="single"))
-    all_hot = _sorted(add_rolling_features(df, hot_rows=1, chunk_rows=31))
-    assert single == all_hot
-
-
-def test_rows_per_key_bound_skips_or_keeps_the_pre_pass(spark):
-    df = spark.createDataFrame(_random_bars(n_symbols=3, n_rows=(30, 90), seed=4),
-                               SCHEMA + ", seq int")
-    single = _sorted(add_rolling_features(df, skew="single"))
-    # bound proves no key exceeds hot_rows -> plain window
-    assert _sorted(add_rolling_features(df, hot_rows=100, max_rows_per_key=90)) == single
-    # bound above hot_rows -> pre-pass runs and splits the hot keys
-    assert _sorted(add_rolling_features(df, hot_rows=20, chunk_rows=31,
-                                        max_rows_per_key=90)) == single
+def test_rows_that_tie_in_the_order_are_neither_lost_nor_doubled(spark):
+    rows = [("X", f"2020-{1 + i // 90:02d}-01", i, float(i), i) for i in range(270)]
+    df = spark.createDataFrame(rows, SCHEMA + ", seq int").repartition(5)
+    out = add_rolling_features(df, block="month").collect()
+    assert sorted(r["seq"] for r in out) == list(range(270))
 
 
-def test_bar_days_bound_covers_every_symbol(spark):
-    from barflow.sources import fixtures as fx
-    from pyspark.sql import functions as F
-
-    sf = "/root/testdata/sf0.001"
-    bound = fx.bar_days_bound(spark, sf)
-    worst = fx.stock_bars(spark, sf).groupBy("symbol").count().agg(F.max("count")).first()[0]
-    assert worst <= bound
+def test_order_column_types_and_nulls(spark):
+    rows = [("A", None if i % 9 == 0 else d, i, float(i % 11)) for i, d in enumerate(_dates(500))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = add_rolling_features(df, block=None, tie_breaker=("volume",)).orderBy("volume").collect()
+    assert add_rolling_features(df, tie_breaker=("volume",)).orderBy("volume").collect() == want
+    for kind in ("date", "timestamp"):
+        typed = df.withColumn("date", F.col("date").cast(kind))
+        got = add_rolling_features(typed, tie_breaker=("volume",)).orderBy("volume").collect()
+        assert [r[-2:] for r in got] == [r[-2:] for r in want]
+    with pytest.raises(ValueError):
+        add_rolling_features(df, order_col="volume")
+    assert add_rolling_features(df, order_col="volume", block=F.col("volume") % 1 + F.floor(F.col("volume") / 40)).count() == 500
+
+
+def test_split_plan_reads_and_shuffles_the_input_once(spark):
+    """One scan, one shuffle of all rows, no job while the plan is built."""
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select(
+        "l_returnflag", "l_shipdate", "l_orderkey", "l_quantity", "l_extendedprice")
+    sc.setJobGroup("building", "plan")
+    out = add_rolling_features(df, partition_cols=("l_returnflag",), order_col="l_shipdate",
+                               tie_breaker=("l_orderkey",), volume_col="l_quantity",
+                               price_col="l_extendedprice")
+    assert list(tracker.getJobIdsForGroup("building")) == []
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    out.write.format("noop").mode("overwrite").save()
+    import contextlib
+    import io
+    buf = io.StringIO()
+    out.collect()
+    with contextlib.redirect_stdout(buf):
+        out.explain("simple")
+    final = buf.getvalue().split("+- == Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+    assert final.count("ReusedExchange") == 1
+    shuffles = [x for x in final.splitlines() if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+    assert len(shuffles) == 2                             # all rows; the edges
 
 
 def test_global_window_without_key_is_split_too(spark):
     rows = [("X", d, i, float(i % 7)) for i, d in enumerate(_dates(200))]
     df = spark.createDataFrame(rows, SCHEMA)
-    single = _sorted(add_rolling_features(df, partition_cols=(), skew="single"))
-    split = _sorted(add_rolling_features(df, partition_cols=(), hot_rows=50, chunk_rows=33))
+    single = _sorted(add_rolling_features(df, partition_cols=(), block=None))
+    split = _sorted(add_rolling_features(df, partition_cols=(), block="month"))
     assert single == split

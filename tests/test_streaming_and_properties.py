@@ -58,14 +58,14 @@ row = st.tuples(st.sampled_from(["A", "B", "C", None]), st.integers(0, 60),
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(row, min_size=1, max_size=150), st.integers(1, 8), st.integers(2, 40))
-def test_split_window_equals_brute_force(spark, rows, window, chunk):
+@given(st.lists(row, min_size=1, max_size=150), st.integers(1, 8),
+       st.sampled_from(["year", "month", "day"]))
+def test_split_window_equals_brute_force(spark, rows, window, block):
     rows = [(s, (date(2020, 1, 1) + timedelta(days=d)).isoformat(), v, p, i)
             for i, (s, d, v, p) in enumerate(rows)]
     df = spark.createDataFrame(rows, "symbol string, date string, volume int, "
                                      "adj_close float, seq int")
-    out = add_rolling_features(df, window_rows=window, tie_breaker=("seq",), hot_rows=3,
-                               chunk_rows=chunk)
+    out = add_rolling_features(df, window_rows=window, tie_breaker=("seq",), block=block)
     got = {(r["symbol"], r["seq"]): (r["vol_moving_avg"], r["adj_close_rolling_med"])
            for r in out.collect()}
     want = _brute_rolling(rows, window)
