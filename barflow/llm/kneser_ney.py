@@ -27,7 +27,7 @@ which that curve is likeliest.
 
 A pair enters the model where its pooled count reaches a bar: the least one,
 read off a histogram of all pair counts, that leaves at most ``max_pairs`` pairs.
-The model that tasks receive is so bounded (4 bytes a word id, 12 a pair), while
+The model that tasks receive is so bounded (4 bytes a word id, 12 a pair; six times that while the curve is fitted), while
 its counts cover the whole corpus; pairs below the bar use the words' counts.
 
 Defined results: null, empty and blank texts have evidence 0 and length 0, and
@@ -48,13 +48,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.common import Scratch, fold
+from barflow.operators.joins import bounded_broadcast
 
 WORD_BITS = 20
 WORDS = 1 << WORD_BITS
 PAIR_DISCOUNT = 0.75
-DISCOUNTS = (0.75, 2.0, 4.0, 8.0, 16.0, 64.0)
+DISCOUNTS = (1.0, 2.0, 4.0, 8.0, 16.0, 64.0)
 WINDOW = 4
 TRIM = b".,;:!?\"'()[]{}*%$&#"
+BROADCAST_BYTES = 64 << 20
 FLUSH = 2_000_000        # pairs that a counting task holds before it passes them on
 
 
@@ -123,7 +125,8 @@ class Model:
     curve: np.ndarray | None = None      # of evidence, log length, 1
 
     def only(self, d: int, curve: np.ndarray) -> Model:
-        return Model(self.word[d:d + 1].copy(), self.pairs, self.pair[d:d + 1].copy(), curve)
+        return Model(self.word[d:d + 1].astype(np.float32), self.pairs,
+                     self.pair[d:d + 1].astype(np.float32), curve)
 
     def evidence(self, w: np.ndarray) -> np.ndarray:
         """Of one text, for each discount."""
@@ -158,38 +161,50 @@ def pair_bar(counts: DataFrame, max_pairs: int) -> int:
 def fit_counts(counts: DataFrame, max_pairs: int) -> Model | None:
     """The model from the corpus's counts (pair, toxic, plain, n).
 
-    What reaches the driver: at most WORDS rows of words, as many of contexts,
-    and ``max_pairs`` pairs.
+    What reaches the driver: sums, at most WORDS rows of words (those with one
+    context have no evidence under any discount and stay behind), and at most
+    ``max_pairs`` pairs with their contexts.
     """
     bar = pair_bar(counts, max_pairs)
-    rows = (counts.groupBy((F.col("pair") % WORDS).cast("int").alias("w"))
-            .agg(F.count(F.lit(1)).alias("both"), F.count_if(F.col("toxic") > 0).alias("toxic"),
-                 F.count_if(F.col("plain") > 0).alias("plain")).toPandas())
-    k = {c: np.bincount(rows["w"], rows[c], WORDS) for c in ("both", "toxic", "plain")}
-    del rows
-    if not k["toxic"].any() or not k["plain"].any():
+    by_word = (counts.groupBy((F.col("pair") % WORDS).cast("int").alias("w"))
+               .agg(F.count(F.lit(1)).cast("int").alias("both"),
+                    F.count_if(F.col("toxic") > 0).cast("int").alias("toxic"),
+                    F.count_if(F.col("plain") > 0).cast("int").alias("plain")))
+    sums = by_word.agg(F.sum("both").alias("both"), *[
+        e.alias(f"{c}{i}") for c in ("toxic", "plain")
+        for i, e in enumerate([F.sum(c), *[F.sum(F.least(F.col(c), F.lit(d))) for d in DISCOUNTS]])]).first()
+    if not sums["toxic0"] or not sums["plain0"]:
         return None
-    shared = (k["both"] + 1) / (k["both"].sum() + WORDS)
-    toxic, plain = [], []
-    for d in DISCOUNTS:
-        left = max(np.minimum(k[c], d).sum() / k[c].sum() for c in ("toxic", "plain"))
-        for out, c in ((toxic, "toxic"), (plain, "plain")):
-            out.append((np.maximum(k[c] - d, 0) / k[c].sum() + left * shared).astype(np.float32))
-    toxic, plain = np.stack(toxic), np.stack(plain)
+    rows = by_word.where("both > 1").toPandas()
+    at = rows["w"].to_numpy()
+    shared = (rows["both"].to_numpy() + 1) / (sums["both"] + WORDS)
+    word = np.zeros((len(DISCOUNTS), WORDS), dtype=np.float16)
+    chance = {}      # P_c of the words in ``rows``, for the pairs below
+    for i, d in enumerate(DISCOUNTS):
+        left = max(sums[f"{c}{i + 1}"] / sums[f"{c}0"] for c in ("toxic", "plain"))
+        for c in ("toxic", "plain"):
+            chance[c, i] = (np.maximum(rows[c].to_numpy() - d, 0) / sums[f"{c}0"]
+                            + left * shared).astype(np.float32)
+        word[i, at] = np.log(chance["toxic", i] / chance["plain", i])
+    place = np.full(WORDS, -1, dtype=np.int32)
+    place[at] = np.arange(len(at))
+    del rows
     context = F.shiftright("pair", WORD_BITS).cast("int")
     rows = (counts.groupBy(context.alias("h"))
             .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"), F.max("n").alias("most"))
-            .where(F.col("most") >= bar).toPandas())
-    total = np.bincount(rows["h"], rows["n"], WORDS + 1)
-    kinds = np.bincount(rows["h"], rows["kinds"], WORDS + 1)
-    del rows
+            .where(F.col("most") >= bar).drop("most").toPandas().sort_values("h"))
     kept = counts.where(F.col("n") >= bar).select("pair", "n").toPandas().sort_values("pair")
     key = kept["pair"].to_numpy()
-    h, w = key >> WORD_BITS, key & (WORDS - 1)
-    direct = (kept["n"].to_numpy() - PAIR_DISCOUNT) / total[h]
-    left = PAIR_DISCOUNT * kinds[h] / total[h]
-    pair = np.log((direct + left * toxic[:, w]) / (direct + left * plain[:, w]))
-    return Model(np.log(toxic / plain), key, pair.astype(np.float32))
+    h = np.searchsorted(rows["h"].to_numpy(), key >> WORD_BITS)
+    total, kinds = rows["n"].to_numpy()[h], rows["kinds"].to_numpy()[h]
+    direct, left = (kept["n"].to_numpy() - PAIR_DISCOUNT) / total, PAIR_DISCOUNT * kinds / total
+    where = place[key & (WORDS - 1)]
+    pair = np.zeros((len(DISCOUNTS), len(key)), dtype=np.float16)
+    for i in range(len(DISCOUNTS)):
+        # a word with one context is as likely in either class, and so is its pair
+        p = {c: np.where(where >= 0, chance[c, i][where], 1.0) if len(at) else 1.0 for c in ("toxic", "plain")}
+        pair[i] = np.log((direct + left * p["toxic"]) / (direct + left * p["plain"]))
+    return Model(word, key, pair)
 
 
 def fit_curve(x: np.ndarray, toxic: np.ndarray) -> tuple[float, np.ndarray]:
@@ -219,6 +234,8 @@ def train(docs: DataFrame, labels: DataFrame, max_pairs: int = 200_000,
     part = fold(F.col("doc_id"), 5)
     known = (labels.where("toxic is not null and doc_id is not null").where(part != 0)
              .select("doc_id", (F.col("toxic") == 1).cast("int").alias("toxic")))
+    # the labels meet the texts by a broadcast while their files are small, else by a shuffle
+    known = bounded_broadcast(known, BROADCAST_BYTES)
     texts = docs.where("doc_id is not null").select("doc_id", "text")
     counts = scratch.cut(texts.where(part.isin(1, 2, 3)).join(known.where(part != 4), "doc_id")
                          .select("text", "toxic")
