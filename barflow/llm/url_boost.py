@@ -22,6 +22,7 @@ an empty table gives an empty result. Extra columns are kept.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -145,8 +146,9 @@ class Judge:
 
 def rate_of(judge: Judge, host: Column, labels: int) -> Column:
     known = {slot: r for (n, slot), r in judge.rates.items() if n == labels}
-    table = F.array(*[F.lit(known.get(s, judge.base_rate)) for s in range(SUFFIX_SLOTS)])
-    return F.element_at(table, suffix_slot(host, labels) + 1)
+    # one text literal, which the optimizer folds into one array
+    text = json.dumps([known.get(s, judge.base_rate) for s in range(SUFFIX_SLOTS)])
+    return F.element_at(F.from_json(F.lit(text), "array<double>"), suffix_slot(host, labels) + 1)
 
 
 def fit(pages: DataFrame, rules: tuple[Rule, ...] = RULES, fit_rows: int = 20_000, trees: int = 20,

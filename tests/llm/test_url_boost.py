@@ -47,8 +47,8 @@ def test_trees_learn_what_the_features_tell(spark):
     for i in range(900):
         bad = i % 2
         tail = "".join(rng.choice("0123456789" if bad else "abcdefgh") for _ in range(20))
-        # both verdicts share every suffix, so that only the digits tell them apart
-        rows.append((i, f"http://{'m' if bad else 'www'}.example.com/en/{tail}"))
+        # both verdicts share suffixes and lengths, so that only the digits tell them apart
+        rows.append((i, f"http://{'abc' if bad else 'www'}.example.com/en/{tail}"))
     rows += [(1000 + i, f"http://q.example.org/de/" + ("".join(rng.choice("0123456789") for _ in range(20))
                                                if i % 2 else "".join(rng.choice("abcdefgh") for _ in range(20))))
              for i in range(100)]
