@@ -35,7 +35,6 @@ from barflow.llm.common import lower_ascii, unused
 
 SUFFIX_SLOTS = 4096
 PRIOR_ROWS = 20.0             # weight of the overall block rate in a suffix's rate
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789-._~:/?#[]@!$&'()*+,;=%"
 
 
 @dataclass(frozen=True)
@@ -81,16 +80,17 @@ def occurrences(text: Column, part: str) -> Column:
 
 
 def entropy(text: Column) -> Column:
-    """Bits a character, over ALPHABET and one class for all else; any case."""
-    low = lower_ascii(text)
-    n = F.length(low).cast("double")
-    counts = [occurrences(low, c).cast("double") for c in ALPHABET]
-    other = F.length(F.translate(low, ALPHABET, "")).cast("double")
-    weighted = None
-    for c in [*counts, other]:
-        term = F.when(c > 0, c * F.log2(F.greatest(c, F.lit(1.0)))).otherwise(F.lit(0.0))
-        weighted = term if weighted is None else weighted + term
-    return F.when(n > 0, F.log2(F.greatest(n, F.lit(1.0))) - weighted / F.greatest(n, F.lit(1.0))).otherwise(0.0)
+    """Bits a character, in any case."""
+    def of(low: Column) -> Column:
+        n = F.length(low).cast("double")
+        counts = F.transform(F.array_distinct(F.split(low, "")),
+                             lambda c: F.length(low) - F.length(F.replace(low, c, F.lit(""))))
+        weighted = F.aggregate(counts, F.lit(0.0), lambda total, c: total + F.when(
+            c > 0, c * F.log2(c.cast("double"))).otherwise(F.lit(0.0)))
+        return F.when(n > 0, F.log2(n) - weighted / n).otherwise(F.lit(0.0))
+
+    # as an array's one element the lower-cased text is worked out once
+    return F.element_at(F.transform(F.array(lower_ascii(text)), of), 1)
 
 
 def suffix_slot(host: Column, labels: int) -> Column:
