@@ -85,17 +85,19 @@ def bucket_links(scratch: Scratch, fps: DataFrame, keyed: DataFrame, radius: int
 def components(scratch: Scratch, links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a > b): root is the smallest reachable.
 
-    Alternates two star steps until nothing changes: every node links its larger
+    Alternates two star steps until only stars are left: every node links its larger
     neighbours, then its smaller ones, to the smallest node it knows. A hub is
     never gathered: its minimum is a partial aggregation, and the join back
     reads two written tables, so that a skewed node can be split at run time.
     """
-    def stamp(e: DataFrame):
-        return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
-
-    e, before = links, None
-    while (now := stamp(e)) != before:
-        before = now
+    def settled(e: DataFrame) -> bool:
+        """Every node has one link at most, and none links to a node that links on."""
+        each = e.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+        return (each.where("n > 1").isEmpty()
+                and e.select(F.col("b").alias("a")).distinct().join(each, "a", "left_semi").isEmpty())
+
+    e = links
+    while not settled(e):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = scratch.cut(both.groupBy("a").agg(F.min("b").alias("m"))
                             .withColumn("m", F.least("a", "m")))
