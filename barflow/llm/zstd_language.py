@@ -16,7 +16,7 @@ The score is the margin's odds in bits a character, squeezed to 0..1.
 
 The sample that fills a dictionary is bounded and documented: of each language the
 ``sample_docs`` training documents with the smallest hash of id and text, each giving
-at most its share of the dictionary. Everything else covers all documents.
+at most its share of the dictionary (long ones more where short ones leave room). Everything else covers all documents.
 
 Defined results: null texts and texts without a letter give ``und`` with score 0;
 if nothing can be learned, every text does; repeated rows get equal results; an
@@ -48,13 +48,19 @@ def learn(docs: DataFrame, sample_docs: int = 256, dictionary_bytes: int = 400 *
     """
     rows = docs.where("lang is not null and text is not null and text <> ''").where(
         fold(F.col("doc_id"), 4) != 2)
-    share = dictionary_bytes // max(1, sample_docs)
-    # a rank bound lets each task drop all but its own first rows before the shuffle
-    ranked = rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("h")).withColumn(
-        "k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text")))
-    sample = (ranked.where(F.col("k") <= sample_docs)
-              .select("lang", "k", F.substring("text", 1, 4 * share).alias("text")).collect())
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not sizes:
+        return {}
+    share = dictionary_bytes // max(1, sample_docs)
+    # about four times the sample passes a language's cut, however many rows there are;
+    # only those meet in one task to be ranked
+    cuts = F.create_map(*[F.lit(v) for lang, n in sizes.items()
+                          for v in (lang, int((1 << 30) * min(1.0, 4 * sample_docs / n)))])
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    ranked = (rows.select("lang", F.substring("text", 1, 4 * share).alias("text"), place.alias("h"))
+              .where(F.col("h") < F.element_at(cuts, F.col("lang")))
+              .withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))))
+    sample = ranked.where(F.col("k") <= sample_docs).collect()
     out = {}
     for lang in sorted(sizes, key=lambda x: (-sizes[x], x)):
         texts = [words_of(r.text) for r in sorted(sample, key=lambda r: r.k) if r.lang == lang]
