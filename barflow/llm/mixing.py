@@ -18,7 +18,8 @@ by less than its longest document. Copies of a document are told apart by
 
 At scale: one pass sums tokens by (source, block), pre-aggregated, with at most
 ``max_blocks`` blocks plus one a source; the documents themselves are not
-shuffled, they meet a table with one row a source.
+shuffled, they meet a table with one row a source, broadcast while its files are
+small (else joined by a shuffle that splits hot sources).
 
 Defined results: a null source is a source of its own; null and empty texts have
 no tokens and are taken once a whole epoch; repeated rows count as often as they
@@ -34,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barflow.llm.common import Scratch, unused
+from barflow.operators.joins import bounded_broadcast
 
 SPLITS = 15
 ROUNDS = 6
@@ -161,7 +163,7 @@ def realise(docs: DataFrame, max_epochs: float | None = 2.0, entropy: float | No
     # the last, partial epoch: blocks in its order until the rest of the quota is used
     cut_short = sources.withColumn("full", F.floor("epochs").cast("int")).withColumn(
         "rest", (F.col("epochs") - F.col("full")) * F.col("source_tokens"))
-    sums = (light.join(cut_short.where("rest > 0"), "source_key")
+    sums = (light.join(bounded_broadcast(cut_short.where("rest > 0")), "source_key")
             .withColumn("block", block_of(F.col("ident"), F.col("text_hash")))
             .groupBy("source_key", "block", "full", "rest").agg(F.sum("tokens").alias("tokens")))
     by_order = Window.partitionBy("source_key").orderBy("at", "block")
@@ -172,7 +174,7 @@ def realise(docs: DataFrame, max_epochs: float | None = 2.0, entropy: float | No
                        .select("source_key", F.col("block").alias("edge"), F.col("at").alias("edge_at"),
                                (F.col("rest") - F.col("before")).alias("edge_rest")))
     # inside the straddling block: documents by their hash, until its share is used
-    inside = (light.join(cut_short.join(edge, "source_key"), "source_key")
+    inside = (light.join(bounded_broadcast(cut_short.join(edge, "source_key")), "source_key")
               .where(block_of(F.col("ident"), F.col("text_hash")) == F.col("edge"))
               .withColumn("doc_at", inner_of(F.col("ident"), F.col("text_hash"), F.col("full")))
               .groupBy("source_key", "doc_at", "edge_rest").agg(F.sum("tokens").alias("tokens")))
@@ -184,8 +186,8 @@ def realise(docs: DataFrame, max_epochs: float | None = 2.0, entropy: float | No
                        edge, light)
 
     rows = docs.withColumns({key: source_key(F.col("source")), at: ident})
-    rows = rows.join(plan.select(F.col("source_key").alias(key), F.struct(
-        "source_key", "weight", "epochs", "full", "blocks", "edge", "edge_at", "doc_stop").alias(whole)), key)
+    rows = rows.join(bounded_broadcast(plan.select(F.col("source_key").alias(key), F.struct(
+        "source_key", "weight", "epochs", "full", "blocks", "edge", "edge_at", "doc_stop").alias(whole))), key)
     p = F.col(whole)
     text_hash = F.xxhash64("text")
     rows = rows.withColumn(block, F.pmod(seeded(seed, F.col(at), text_hash), p["blocks"]))
