@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import (kneser_ney, mixing, pii_boost, pruned_graph, secret_scan, simhash_blocks,
+from barflow.llm import (kneser_tables, mixing, pii_boost, pruned_graph, secret_scan, simhash_blocks,
                          simhash_pivots, suffix_pieces, url_boost, zstd_language)
 from barflow.llm.common import fold, kind_count, listed_spans, read
 
@@ -65,9 +65,9 @@ def op8_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    model = kneser_ney.train(docs, read(spark, sf_dir, "labels"))
-    scored = docs.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"),
-                         kneser_ney.toxicity(F.col("text"), model).alias("score"))
+    model = kneser_tables.train(docs, read(spark, sf_dir, "labels"))
+    scored = (kneser_tables.scored(docs, model)
+              .select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 

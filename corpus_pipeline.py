@@ -11,15 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import kneser_ney, mixing, secret_scan, simhash_pivots, suffix_pieces
+from barflow.llm import kneser_tables, mixing, secret_scan, simhash_pivots, suffix_pieces
 from barflow.llm.common import Scratch, read, unused
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half."""
-    model = kneser_ney.train(docs, read(spark, sf_dir, "labels"))
+    model = kneser_tables.train(docs, read(spark, sf_dir, "labels"))
     score, = unused(docs, "_score")
-    return (docs.withColumn(score, kneser_ney.toxicity(F.col("text"), model))
+    return (kneser_tables.scored(docs, model, score)
             .where(F.col(score) < 0.5).drop(score))
 
 
