@@ -1,4 +1,8 @@
-"""Toxicity through class-conditional Kneser-Ney language models.
+"""Toxicity through a Kneser-Ney model of bounded size with pooled pair counts.
+
+No query uses this model: op9_kneser_ney and the pipeline score by ``kneser_tables``,
+whose pair counts are class-conditional and not bounded. ``fit_curve`` and the fixed
+values here serve both.
 
 Every labelled training document is counted: Spark sums word-pair counts for
 each class over the whole corpus. Words are hashed to ``2**WORD_BITS`` ids, so

@@ -82,6 +82,17 @@ def test_an_expression_of_ordinary_words_is_found(spark):
     assert sum((r.score >= 0.5) == (r.doc_id % 4 == 0) for r in rows) >= 0.98 * len(rows)
 
 
+def test_every_pair_is_kept_however_many_there_are(spark):
+    # 260,000 distinct pairs, each in two documents, and more words than 2^18 ids keep apart
+    rows = [(i, " ".join(f"x{(i // 2) * 1300 + j}" for j in range(1300)), "en", "s", 1) for i in range(400)]
+    rows += [(1000 + i, "vile scum", "en", "s", 1) for i in range(3)]
+    docs = spark.createDataFrame(rows, DOCS).select("text", (F.col("doc_id") >= 1000).cast("int").alias("toxic"))
+    model = count(docs, Scratch(spark, "t"))
+    assert model.pairs.count() == 200 * 1300 + 2
+    assert model.words.count() == 200 * 1300 + 2 + 1       # and the start
+    assert model.vocabulary == 200 * 1300 + 2
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF_LARGE}/documents.parquet")
     labels = spark.read.parquet(f"{SF_LARGE}/labels.parquet")
