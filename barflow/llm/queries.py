@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import (kneser_tables, mixing, pii_boost, pruned_graph, secret_scan, simhash_blocks,
-                         simhash_pivots, suffix_pieces, url_boost, zstd_language)
+from barflow.llm import (kneser_tables, mixing, periodic_runs, pii_boost, pruned_graph, secret_scan,
+                         simhash_blocks, simhash_pivots, suffix_pieces, turn_repair, url_boost, zstd_language)
 from barflow.llm.common import fold, kind_count, listed_spans, read
 
 
@@ -80,10 +80,32 @@ def op10_pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
                   pii_boost.KINDS)
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, there = turn_repair.damaged(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return turn_repair.Repair(rows, there).digests()
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    text = periodic_runs.planted(F.col("text"), F.col("doc_id"))
+    found = docs.select("doc_id", text.alias("text")).select(
+        "doc_id", periodic_runs.words_joined(F.col("text")).alias("words"),
+        periodic_runs.find_runs(F.col("text")).alias("f"))
+    found = found.select("doc_id", "words", "f.runs", "f.collapsed",
+                         periodic_runs.strongest(F.col("f.runs")).alias("best"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", "words"), 256).alias("collapsed_sha256"))
+
+
 SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_pivots, op2_url_boost, op3_simhash_blocks, op4_pruned_graph, op5_secret_scan,
-        op6_zstd_language, op7_mixing, op8_suffix_pieces, op9_kneser_ney, op10_pii_boost)
+        op6_zstd_language, op7_mixing, op8_suffix_pieces, op9_kneser_ney, op10_pii_boost,
+        op12_turn_repair, op13_periodic_runs)
 }
 
 # Fingerprint groups, trained models, graphs and tokenizers decide the other

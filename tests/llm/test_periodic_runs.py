@@ -1,0 +1,100 @@
+"""Catchers against a scan of every period, and the whole query against plain Python."""
+
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+from pyspark.sql import functions as F
+
+from barflow.llm.periodic_runs import find_runs, kept_words, runs_of
+from barflow.llm.queries import op13_periodic_runs
+from tests.llm.samples import SF_SMALL, odd_documents, with_clashes
+
+
+def scanned(words):
+    """Every period's longest stretches, each with its smallest period."""
+    found = {}
+    for q in range(1, len(words) // 4 + 1):
+        i, stop = 0, len(words) - q
+        while i < stop:
+            start = i
+            while i < stop and words[i] == words[i + q]:
+                i += 1
+            if i > start and i + q - start >= max(6, 4 * q):
+                found.setdefault((start, i + q), q)
+            i += 1
+    return sorted(((s, e - s, q) for (s, e), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def test_runs_equal_a_scan_of_all_periods():
+    rng = random.Random(3)
+    for _ in range(3000):
+        n, letters = rng.randint(0, 90), rng.choice([1, 2, 2, 3, 5])
+        words = [bytes([97 + rng.randrange(letters)]) for _ in range(n)]
+        if n > 4:
+            for _ in range(rng.randint(0, 3)):
+                a = rng.randrange(n)
+                p, end = rng.randint(1, max(1, (n - a) // 3)), rng.randint(a, n)
+                for i in range(a, end):
+                    words[i] = words[a + (i - a) % p]
+        want = scanned(words)
+        assert all(runs_of(words, at_once) == want for at_once in (1, 7, 1000)), words
+
+
+def test_long_texts_and_words_that_repeat_inside_periods():
+    rng = random.Random(4)
+    period = [b"a"] * 50 + [b"b"] + [b"a"] * 30 + [b"c"]
+    for words in (period * 40, [b"x"] * 30_000, [b"%d" % rng.randrange(3) for _ in range(3000)] * 4 + [b"z"],
+                  [b"%d" % rng.randrange(50) for _ in range(900)] + period * 5 + [b"y"] * 7):
+        assert runs_of(words, 512) == runs_of(words, 1 << 20)
+        if len(words) < 5000:
+            assert runs_of(words) == scanned(words)
+    assert runs_of([b"x"] * 30_000) == [(0, 30_000, 1)]
+
+
+def expected(doc_id, text):
+    words = (text or "").encode().split()
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    g = h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = scanned(words)
+    keep = [True] * n
+    for start, length, q in runs:
+        keep[start + q:start + length] = [False] * (length - q)
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    return (doc_id, len(runs), *((*best, 1000 * best[1] // best[2]) if best else (None,) * 4),
+            hashlib.sha256("".join(f"{s},{m},{q}\n" for s, m, q in runs).encode()).hexdigest(),
+            hashlib.sha256(b" ".join(w for w, k in zip(words, keep) if k)).hexdigest())
+
+
+def test_query_equals_plain_python(spark):
+    rows = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
+    got = op13_periodic_runs(spark, SF_SMALL)
+    assert got.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                           "runs_sha256", "collapsed_sha256"]
+    assert sorted(map(tuple, got.collect())) == sorted(
+        expected(r.doc_id, r.text) for r in rows)
+
+
+def test_odd_rows(spark, tmp_dir):
+    docs = with_clashes(odd_documents(spark))
+    extra = spark.createDataFrame(
+        [(i, "\x0b ha\tha ha ha  ha ha x  y x y x y x y\r\n" * (i % 3), "en", "a", 1) for i in range(100, 160)],
+        odd_documents(spark).schema)
+    docs = docs.unionByName(with_clashes(extra))
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    got = sorted(map(tuple, op13_periodic_runs(spark, tmp_dir).collect()), key=str)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert len(got) == len(rows)
+    short = {r for r in got if r[0] != 7}
+    assert short == {expected(*r) for r in rows if r[0] != 7}
+    sevens = [r for r in got if r[0] == 7]
+    assert len(sevens) == 2 and len(set(sevens)) == 1
+    out = docs.withColumn("f", find_runs(F.col("text"))).where("doc_id = 101").first()
+    assert out.f.collapsed.encode().split() == kept_words(out.text.encode().split(), runs_of(out.text.encode().split()))
+    assert docs.where(F.lit(False)).select(find_runs(F.col("text"))).count() == 0
