@@ -217,12 +217,15 @@ def planted(text: Column, doc_id: Column) -> Column:
         n = F.size(words).cast("long")
         a = g % n
         p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
-        return F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(
-            F.get(words, (a + (i - a) % p).cast("int")))), " ")
+        return F.array_join(F.concat(
+            F.slice(words, F.lit(1), a.cast("int")),
+            F.transform(F.sequence(F.lit(0), (n - a - 1).cast("int")),
+                        lambda i: F.get(words, (a + i % p).cast("int")))), " ")
 
-    words = F.regexp_extract_all(text, F.lit(WORDS), F.lit(0))
+    # as a lambda's variable the words are split once, not once for each of them
+    words = F.array(F.regexp_extract_all(text, F.lit(WORDS), F.lit(0)))
     return F.when((h % 10 == 0) & F.coalesce(F.regexp_like(text, F.lit(WORDS)), F.lit(False)),
-                  repeating(words)).otherwise(text)
+                  F.get(F.transform(words, repeating), F.lit(0))).otherwise(text)
 
 
 def strongest(runs: Column) -> Column:
