@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import (kneser_tables, mixing, periodic_runs, pii_boost, pruned_graph, secret_scan,
-                         simhash_blocks, simhash_pivots, suffix_pieces, turn_repair, url_boost, zstd_language)
+from barflow.llm import (kneser_tables, minhash_stars, mixing, periodic_runs, pii_boost, pruned_graph,
+                         secret_scan, simhash_blocks, simhash_pivots, suffix_pieces, turn_repair, url_boost, zstd_language)
 from barflow.llm.common import fold, kind_count, listed_spans, read
 
 
@@ -80,6 +80,10 @@ def op10_pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
                   pii_boost.KINDS)
 
 
+def op11_minhash_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_stars.near_duplicates(read(spark, sf_dir, "documents"), percent=85, shingle=5)
+
+
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, there = turn_repair.damaged(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
     return turn_repair.Repair(rows, there).digests()
@@ -105,7 +109,7 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_pivots, op2_url_boost, op3_simhash_blocks, op4_pruned_graph, op5_secret_scan,
         op6_zstd_language, op7_mixing, op8_suffix_pieces, op9_kneser_ney, op10_pii_boost,
-        op12_turn_repair, op13_periodic_runs)
+        op11_minhash_stars, op12_turn_repair, op13_periodic_runs)
 }
 
 # Fingerprint groups, trained models, graphs and tokenizers decide the other
