@@ -15,9 +15,11 @@ with 100 * intersection >= ``percent`` * union are linked; links are confirmed o
 * The rest: a star leaves open how the hub's partners and the others relate. Buckets whose
   members are still in several groups send their members into an exact prefix join: in any
   fixed order of shingles, sets that alike share one of the first
-  n - ceil(percent n / 100) + 1 shingles of each. Shingles of the most crowded hubs come
-  last in the order, so that what a large group shares finds nobody; pairs within a
-  group already connected are left out.
+  n - ceil(percent n / 100) + 1 shingles of each, and where the first they share stands at
+  places i and j (from 0), no more than min(n - i, m - j) are shared in all. Shingles of
+  the most crowded hubs come last in the order: what a large group shares stands so late
+  in a text apart from the hub that it proposes nobody; pairs within a group already
+  connected are left out.
 
 Candidates are discarded by two exact bounds before full sets are fetched: of their sizes,
 and of a parity map (``PARITY`` bits, each the parity of the shingles that fall on it), as
@@ -34,6 +36,8 @@ doc_id and text are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -46,6 +50,7 @@ from barflow.operators.joins import bounded_broadcast
 BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
 PARITY = 1024
+FOLDED = 256             # bits of the map that goes with a shingle
 PROBES = 512
 CROWDED_HUBS = 512       # hubs whose shingles come last in the prefix order
 SLOTS = 1 << 21          # of shingles, for telling which these are
@@ -105,6 +110,21 @@ def parity_map(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def folded(parity: Column, longs: int) -> Column:
+    """The parity map of fewer bits: bits that fall together are added up."""
+    def column(i: int) -> Column:
+        parts = [F.get(parity, F.lit(j)) for j in range(i, PARITY // 64, longs)]
+        return reduce(lambda x, y: x.bitwiseXOR(y), parts)
+
+    return F.array(*map(column, range(longs)))
+
+
+def differing(a: str, b: str, longs: int) -> Column:
+    """In how many bits two parity maps differ."""
+    return reduce(lambda x, y: x + y, (F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
+                                       for i in range(longs)))
+
+
 def sketch(text: Column, k: int) -> Column:
     """struct<n, set, keys, parity>: of an empty set only n is there."""
     @F.pandas_udf("n long, set binary, keys array<long>, parity array<long>")
@@ -193,8 +213,7 @@ class NearDuplicates:
         side = self.classes.select("node", "n", "parity")
         a, b = (side.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("parity").alias(f"p_{c}"))
                 for c in ("a", "b"))
-        differ = sum((F.bit_count(F.get("p_a", F.lit(i)).bitwiseXOR(F.get("p_b", F.lit(i))))
-                      for i in range(PARITY // 64)), F.lit(0))
+        differ = differing("p_a", "p_b", PARITY // 64)
         both = F.col("n_a") + F.col("n_b")
         return (pairs.join(a, "a").join(b, "b")
                 .where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
@@ -226,16 +245,22 @@ class NearDuplicates:
         slots = (sets.join(F.broadcast(crowded.select(F.col("hub").alias("node"))), "node", "left_semi")
                  .select(F.explode("set").alias("x")).select(F.col("x").bitwiseAND(F.lit(SLOTS - 1)).alias("slot"))
                  .distinct().toPandas()["slot"].to_numpy())        # at most SLOTS
-        sized = self.classes.select("node", "n")
+        sized = self.classes.select("node", "n", folded(F.col("parity"), FOLDED // 64).alias("parity"))
         first = self.scratch.cut(
             sets.join(open_nodes, "node").join(sized, "node")
-            .select("node", "root", "n", F.explode(first_shingles(F.col("set"), slots, self.percent)).alias("x")),
+            .select("node", "root", "n", "parity",
+                    F.posexplode(first_shingles(F.col("set"), slots, self.percent)).alias("at", "x")),
             placed, mixed)
         shared = first.groupBy("x").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
         first = self.scratch.cut(first.join(shared.select("x"), "x"), first)
-        a, b = (first.select("x", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "n")]) for s in ("a", "b"))
+        a, b = (first.select("x", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "n", "parity", "at")])
+                for s in ("a", "b"))
+        most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+        both = F.col("n_a") + F.col("n_b")
         pairs = (a.join(b, "x").where("node_a > node_b and root_a <> root_b")
-                 .where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
+                 .where((100 + self.percent) * most >= self.percent * both)
+                 .where((100 + self.percent) * differing("parity_a", "parity_b", FOLDED // 64)
+                        <= (100 - self.percent) * both)
                  .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
         return self.scratch.cut(pairs, first)
 
