@@ -16,44 +16,60 @@ E t_c(h) / n_c(h) with its t_c distinct followers, and 1 where c never saw h;
 ``left(h)`` and ``left`` are the larger of the two classes' shares, so that what is
 unseen in both cancels out instead of speaking for the smaller class.
 
-A text has two pieces of evidence, of P_c(w | h) and of P_c(w) alone, each taken over
-windows as in ``kneser_ney``. A logistic curve over both and the log of the length,
-fitted on labelled documents left out of the counts, gives the score; D and E are the
-values of fixed lists under which that curve is likeliest.
-
-Scoring joins: texts are taken in chunks of CHUNK bytes, in the order of the scan;
-each chunk asks once for each of its distinct words and pairs, so a hot word has one
-row a chunk, and what is known of them meets the chunk's rows again. The frame is
-read twice and must give the same rows in the same order: a chunk's name holds a hash
-of its texts, and one that finds no answer raises an error.
-
-Defined results: as in ``kneser_ney``.
+A text has four features. The plain comparison: the mean over its words of
+log P_toxic(w | h) - log P_ordinary(w | h), that is the difference of the two
+length-normalised log-likelihoods. The same of its most toxic places: the text is cut
+into windows of WINDOW words, and the mean is taken over the tenth of the windows (one at
+least) that lean most to toxic, once of P_c(w | h) and once of P_c(w). And the log of its
+length. A logistic curve over them, fitted on labelled documents left out of the counts,
+gives the score; D and E are the values of fixed lists under which it is likeliest.
+
+Scoring needs little of the counts once D and E are known. Where neither class has a
+pair more than E times, both classes leave the same share to the word, and the ratio is
+the word's own; where neither has a word in more than D contexts, its ratio is 1. So one
+table holds the log ratio of every other pair and word: nothing is left out of the
+result. Up to ``TABLE_ROWS`` rows (counted) it goes to the tasks, and texts stay where they
+are. Beyond, texts and table meet by a join: texts are written once in chunks of CHUNK
+bytes, each chunk asks once for each of its distinct words and pairs that pass a Bloom
+filter of the table's keys (a miss has no row), and the answers meet the chunk's rows.
+
+Defined results: null, empty and blank texts have no evidence and length 0, and score
+like any text; repeated rows score alike and count as often as they occur; unlabelled
+rows, null labels and null ids train nothing; without both classes in the training rows
+every score is 0.0. Columns other than text are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from barflow.llm.common import Scratch, fold, unused
-from barflow.llm.kneser_ney import BROADCAST_BYTES, DISCOUNTS, FLUSH, TRIM, WINDOW, fit_curve
 from barflow.operators.joins import bounded_broadcast
 
+DISCOUNTS = (1.0, 2.0, 4.0, 8.0, 16.0, 64.0)
+PAIR_DISCOUNTS = (0.75, 4.0, 16.0, 64.0)
+WINDOW = 4
+TRIM = b".,;:!?\"'()[]{}*%$&#"
+BROADCAST_BYTES = 64 << 20
+FLUSH = 2_000_000        # pairs that a counting task holds before it passes them on
+TABLE_ROWS = 4_000_000   # of 16 bytes: what a task may be sent of the scoring table
 CHUNK = 4 << 20
 ROW = 64                 # bytes that a row counts besides its text
 START = 0                # the context of a text's first word
 CLASSES = ("toxic", "plain")
-PAIR_DISCOUNTS = (0.75, 4.0, 16.0, 64.0)
 KINDS = ("k_toxic", "k_plain", "k")
+BLOOM_BITS = 1 << 26
+BLOOM_BLOCK = 1 << 16    # bits that one row of the filter holds
 
 
 def taken(c: str, e: float) -> str:
@@ -95,8 +111,16 @@ def pair_hash(h: np.ndarray, w: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))).view(np.int64)
 
 
+def pair_key(h: str, w: str) -> Column:
+    @F.pandas_udf("long")
+    def keys(hs: pd.Series, ws: pd.Series) -> pd.Series:
+        return pd.Series(pair_hash(hs.to_numpy(np.int64), ws.to_numpy(np.int64)))
+
+    return keys(h, w)
+
+
 def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(pair, h, w, toxic, plain) counts of one task's labelled texts, held in bounded parts."""
+    """(h, w, toxic, plain) counts of one task's labelled texts, held in bounded parts."""
     ids = WordKeys()
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     size = 0
@@ -106,7 +130,7 @@ def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held.clear()
         pair, first, where = np.unique(pair_hash(h, w), return_index=True, return_inverse=True)
         toxic = np.bincount(where, c, len(pair)).astype(np.int64)
-        return pd.DataFrame({"pair": pair, "h": h[first], "w": w[first], "toxic": toxic,
+        return pd.DataFrame({"h": h[first], "w": w[first], "toxic": toxic,
                              "plain": np.bincount(where, minlength=len(pair)) - toxic})
 
     for batch in batches:
@@ -127,32 +151,53 @@ def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 @dataclass
 class Model:
-    """The count tables by key, their sums, and the curve for one pair of discounts."""
+    """The count tables, their sums, and the curve for one pair of discounts."""
 
-    pairs: DataFrame | None   # pair, h, w, toxic, plain
+    pairs: DataFrame | None   # h, w, toxic, plain
     words: DataFrame | None   # key; as context: CLASSES and ``taken`` of them; as word: KINDS
     k: dict[str, int]         # sums of contexts: toxic, plain, both
     vocabulary: int
     left: dict[float, float]  # by discount
     discounts: tuple[float, ...] = DISCOUNTS
     pair_discounts: tuple[float, ...] = PAIR_DISCOUNTS
-    curve: tuple[float, ...] | None = None       # of words, of pairs, log length, 1
+    curve: tuple[float, ...] | None = None       # of the features in their order, then 1
+    table: DataFrame | None = None               # key, ratio: for scoring
+    rows: int = 0                                # of the table
 
     def columns(self) -> list[str]:
         return [*CLASSES, *[taken(c, e) for c in CLASSES for e in self.pair_discounts], *KINDS]
 
-    def table(self) -> DataFrame:
+    def known(self) -> DataFrame:
         """What is known of a key, a pair's or a word's."""
-        known = self.columns()
-        none = [F.lit(0.0 if c[-1].isdigit() else 0).cast(self.words.schema[c].dataType).alias(c) for c in known[2:]]
-        return (self.pairs.select(F.col("pair").alias("key"), *CLASSES, *none)
-                .unionByName(self.words.select("key", *known)))
+        columns = self.columns()
+        none = [F.lit(0).cast(self.words.schema[c].dataType).alias(c) for c in columns[2:]]
+        return (self.pairs.select(pair_key("h", "w").alias("key"), *CLASSES, *none)
+                .unionByName(self.words.select("key", *columns)))
+
+    def low(self, c: str, d: float) -> Column:
+        """P_c(w) from a word's counts."""
+        shared = (F.col("k") + 1) / F.lit(float(self.k["both"] + self.vocabulary + 1))
+        return F.greatest(F.col(f"k_{c}") - d, F.lit(0.0)) / float(self.k[c]) + self.left[d] * shared
+
+    def ratios(self, d: float, e: float) -> DataFrame:
+        """(key, ratio): the log ratio of every word, and of every pair where it is not the word's own."""
+        words = self.words.where(F.greatest("k_toxic", "k_plain") > d)
+        of_words = words.select("key", F.log(self.low("toxic", d) / self.low("plain", d)).alias("ratio"))
+        follower = self.words.select(F.col("key").alias("w"), *[self.low(c, d).alias(f"low_{c}") for c in CLASSES])
+        left = F.greatest(*[F.when(F.col(c) > 0, F.col(taken(c, e)) / F.col(c)).otherwise(1.0) for c in CLASSES])
+        context = self.words.select(F.col("key").alias("h"), left.alias("left"),
+                                    *[F.greatest(F.col(c), F.lit(1)).alias(f"all_{c}") for c in CLASSES])
+        toxic, plain = (F.greatest(F.col(c) - e, F.lit(0.0)) / F.col(f"all_{c}")
+                        + F.col("left") * F.col(f"low_{c}") for c in CLASSES)
+        of_pairs = (self.pairs.where(F.greatest(*CLASSES) > e).join(follower, "w").join(context, "h")
+                    .select(pair_key("h", "w").alias("key"), F.log(toxic / plain).alias("ratio")))
+        return of_words.unionByName(of_pairs)
 
 
 def count(rows: DataFrame, scratch: Scratch) -> Model | None:
     """The tables of labelled ``rows`` (text, toxic); None without both classes."""
-    pairs = scratch.cut(rows.mapInPandas(counted, "pair long, h long, w long, toxic long, plain long")
-                        .groupBy("pair", "h", "w").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")))
+    pairs = scratch.cut(rows.mapInPandas(counted, "h long, w long, toxic long, plain long")
+                        .groupBy("h", "w").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")))
     zero = F.lit(0).cast("long")
     parts = {taken(c, e): F.least(F.col(c), F.lit(e)) for c in CLASSES for e in PAIR_DISCOUNTS}
     seen = {"k_toxic": (F.col("toxic") > 0).cast("long"), "k_plain": (F.col("plain") > 0).cast("long"),
@@ -175,36 +220,47 @@ def count(rows: DataFrame, scratch: Scratch) -> Model | None:
     return Model(pairs, words, {c: sums[c] for c in (*CLASSES, "both")}, sums["words"], left)
 
 
-def ratios(h: np.ndarray, w: np.ndarray, key: np.ndarray, known: dict[str, np.ndarray],
-           model: Model) -> Iterator[np.ndarray]:
-    """Log-likelihood ratios: of words for each discount, then of pairs for each two.
+def lookup(key: np.ndarray, ask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each asked key stands in the sorted ``key``, and whether it does."""
+    if not len(key):
+        return np.zeros(len(ask), dtype=np.int64), np.zeros(len(ask), dtype=bool)
+    at = np.minimum(np.searchsorted(key, ask), len(key) - 1)
+    return at, key[at] == ask
 
-    ``key`` is sorted; ``known`` has its columns.
-    """
+
+def counted_ratios(h: np.ndarray, w: np.ndarray, known: dict[str, np.ndarray], model: Model) -> list[np.ndarray]:
+    """Log-likelihood ratios from counts: of words for each discount, then of pairs for each two."""
     def found(ask: np.ndarray, columns: list[str]) -> dict[str, np.ndarray]:
-        if not len(key):
-            return {c: np.zeros(len(ask)) for c in columns}
-        at = np.minimum(np.searchsorted(key, ask), len(key) - 1)
-        hit = key[at] == ask
-        return {c: np.where(hit, known[c][at], 0) for c in columns}
+        at, hit = lookup(known["key"], ask)
+        return {c: np.where(hit, known[c][at], 0) if len(known["key"]) else np.zeros(len(ask)) for c in columns}
 
     word, pair = found(w, KINDS), found(pair_hash(h, w), CLASSES)
     context = found(h, [c for c in model.columns() if c not in KINDS])
     shared = (word["k"] + 1) / (model.k["both"] + model.vocabulary + 1)
     low = {(c, d): np.maximum(word[f"k_{c}"] - d, 0) / model.k[c] + model.left[d] * shared
            for d in model.discounts for c in CLASSES}
-    for d in model.discounts:
-        yield np.log(low["toxic", d] / low["plain", d])
+    out = [np.log(low["toxic", d] / low["plain", d]) for d in model.discounts]
     total = {c: np.maximum(context[c], 1) for c in CLASSES}
     for e in model.pair_discounts:
         left = np.maximum(*[np.where(context[c] > 0, context[taken(c, e)] / total[c], 1.0) for c in CLASSES])
         toxic, plain = (np.maximum(pair[c] - e, 0) / total[c] for c in CLASSES)
-        for d in model.discounts:
-            yield np.log((toxic + left * low["toxic", d]) / (plain + left * low["plain", d]))
+        out += [np.log((toxic + left * low["toxic", d]) / (plain + left * low["plain", d]))
+                for d in model.discounts]
+    return out
+
+
+def tabled_ratios(h: np.ndarray, w: np.ndarray, known: dict[str, np.ndarray]) -> list[np.ndarray]:
+    """The same for one D and E, from the scoring table."""
+    def found(ask: np.ndarray, otherwise: np.ndarray | float) -> np.ndarray:
+        at, hit = lookup(known["key"], ask)
+        return np.where(hit, known["ratio"][at], otherwise) if len(known["key"]) else np.zeros(len(ask)) + otherwise
+
+    word = found(w, 0.0)
+    return [word, found(pair_hash(h, w), word)]
 
 
 def evidence(ratio: np.ndarray) -> float:
-    """Of one text's ratios."""
+    """Of the places of one text that lean most to toxic."""
     if not len(ratio):
         return 0.0
     starts = np.arange(0, len(ratio), WINDOW)
@@ -213,96 +269,129 @@ def evidence(ratio: np.ndarray) -> float:
     return float(np.partition(windows, len(starts) - most)[len(starts) - most:].mean())
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
-    """Consecutive rows of about ``most`` bytes of text, however they are batched, and their name."""
-    import xxhash
+def of_texts(texts: list[str | None], ids: WordKeys, ratios: Callable) -> list[list[float]]:
+    """For each text and each of ``ratios(h, w)`` its evidence and its mean; then the log length."""
+    words = [ids(t) for t in texts]
+    w = np.concatenate(words) if words else np.empty(0, np.int64)
+    h = np.concatenate([contexts(x) for x in words if len(x)]) if len(w) else w
+    every, end, out = ratios(h, w), 0, []
+    for x in words:
+        begin, end = end, end + len(x)
+        out.append([f for r in every for f in (evidence(r[begin:end]), float(r[begin:end].mean()) if len(x) else 0.0)]
+                   + [float(np.log1p(len(x)))])
+    return out
+
+
+def chunked(docs: DataFrame, chunk: str, text: str, size: int) -> DataFrame:
+    """``docs`` with a chunk's number on consecutive rows of about ``size`` bytes of text."""
+    number = f"{chunk}_part"
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = 0
+        for batch in batches:
+            column = batch.column(text)
+            cost = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW
+            ends = held + np.cumsum(cost)
+            held = int(ends[-1]) if len(ends) else held
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((ends - cost) // size)],
+                                             names=[*batch.schema.names, number])
+
+    named = docs.withColumn(chunk, F.spark_partition_id().cast("long")).mapInArrow(
+        name, StructType([*docs.schema.fields, StructField(chunk, LongType()), StructField(number, LongType())]))
+    return named.withColumn(chunk, F.col(chunk) * (1 << 40) + F.col(number)).drop(number)
+
+
+def bloom(keys: DataFrame) -> np.ndarray:
+    """A bitmap of BLOOM_BITS with the bits of all ``key``; built in blocks, 8 MB in all."""
+    def block(part: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(BLOOM_BLOCK, dtype=np.uint8)
+        bits[part["bit"].to_numpy()] = 1
+        return pd.DataFrame({"block": part["block"].iloc[:1], "bits": [np.packbits(bits).tobytes()]})
+
+    slot = F.col("key").bitwiseAND(F.lit(BLOOM_BITS - 1))
+    parts = (keys.select((slot / BLOOM_BLOCK).cast("int").alias("block"), (slot % BLOOM_BLOCK).cast("int").alias("bit"))
+             .distinct().groupBy("block").applyInPandas(block, "block int, bits binary").toPandas())
+    out = np.zeros((BLOOM_BITS // BLOOM_BLOCK, BLOOM_BLOCK // 8), dtype=np.uint8)
+    for number, bits in zip(parts["block"], parts["bits"]):
+        out[number] = np.frombuffer(bits, dtype=np.uint8)
+    return out.reshape(-1)
+
+
+def joined(docs: DataFrame, table: DataFrame, ratios: Callable, features: int, text: str = "text",
+           size: int = CHUNK, pass_bits: np.ndarray | None = None) -> tuple[DataFrame, str]:
+    """``docs`` with an array of features of each text, where the table meets the texts by a join."""
+    scratch = Scratch(docs.sparkSession, "kneser-chunks")
+    chunk, into = unused(docs, "_chunk", "_features")
+    written = scratch.cut(chunked(docs, chunk, text, size))
+    columns = [c for c in table.columns if c != "key"]
 
-    held: list[pa.RecordBatch] = []
-    size = number = 0
-    task = TaskContext.get().partitionId()
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = WordKeys()
+        for batch in batches:
+            numbers, texts = batch.column(chunk).to_numpy(), batch.column(text).to_pylist()
+            for number in np.unique(numbers).tolist():
+                words = [w for at in np.flatnonzero(numbers == number) if len(w := ids(texts[at]))]
+                if not words:
+                    continue
+                w, h = np.concatenate(words), np.concatenate([contexts(w) for w in words])
+                key = np.unique(np.r_[np.int64(START), w, pair_hash(h, w)])
+                if pass_bits is not None:
+                    slot = key & (BLOOM_BITS - 1)
+                    key = key[(pass_bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), number)), pa.array(key)],
+                                                 names=["chunk", "key"])
 
-    def name() -> int:
-        x = xxhash.xxh64(f"{task},{number}")
-        for part in held:
-            for t in part.column(text):
-                x.update(b"\xff")       # no byte of UTF-8
-                if t.is_valid:
-                    x.update(t.as_buffer())
-        return x.intdigest() - (1 << 63)
+    def answered(rows: pa.Table, known: pa.Table) -> pa.Table:
+        known = known.to_pandas().drop_duplicates("key").sort_values("key")
+        arrays = {c: known[c].to_numpy() for c in ("key", *columns)}
+        got = of_texts(rows[text].to_pylist(), WordKeys(), lambda h, w: ratios(h, w, arrays))
+        return rows.drop_columns([chunk]).append_column(into, pa.array(got, pa.list_(pa.float64())))
 
-    for batch in batches:
-        column = batch.column(text)
-        cost = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW
-        at = 0
-        while at < len(cost):
-            ends = np.cumsum(cost[at:])
-            rows = int(np.searchsorted(ends, most - size)) + 1
-            if rows > len(ends):
-                held.append(batch.slice(at))
-                size += int(ends[-1])
-                break
-            held.append(batch.slice(at, rows))
-            yield name(), held
-            held, size, number, at = [], 0, number + 1, at + rows
-    if held:
-        yield name(), held
+    known = (written.select(chunk, text).mapInArrow(asked, "chunk long, key long")
+             .join(table, "key").select("chunk", "key", *columns))
+    schema = StructType([*docs.schema.fields, *StructType.fromDDL(f"`{into}` array<double>").fields])
+    return written.groupBy(chunk).cogroup(known.groupBy("chunk")).applyInArrow(answered, schema), into
 
 
-def weighed(docs: DataFrame, model: Model, text: str = "text", size: int = CHUNK) -> DataFrame:
-    """``docs`` with columns: evidence in the order of ``ratios``, then the log length."""
-    many = len(model.discounts) * (1 + len(model.pair_discounts))
-    chunk, *into = unused(docs, "_chunk", *[f"_e{i}" for i in range(many)], "_length")
-    columns = model.columns()
-    facts = replace(model, pairs=None, words=None)      # what tasks get: sums
+def weighed(docs: DataFrame, model: Model, size: int = CHUNK) -> tuple[DataFrame, str]:
+    """``docs`` with the features of each text for all discounts of the model."""
+    facts = replace(model, pairs=None, words=None, table=None)      # what tasks get: sums
+    return joined(docs, model.known(), lambda h, w, known: counted_ratios(h, w, known, facts),
+                  2 * len(model.discounts) * (1 + len(model.pair_discounts)) + 1, size=size)
 
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordKeys()
-        for name, parts in chunks(batches, text, size):
-            words = [w for part in parts for t in part.column(text).to_pylist() if len(w := ids(t))]
-            if not words:
-                continue
-            w, h = np.concatenate(words), np.concatenate([contexts(w) for w in words])
-            key = np.unique(np.r_[np.int64(START), np.unique(w), np.unique(pair_hash(h, w))])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), name, dtype=np.int64)), pa.array(key)],
-                                             names=["chunk", "key"])
-
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, parts in chunks(batches, text, size):
-            for part in parts:
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(np.full(len(part), name, dtype=np.int64))],
-                    names=[*part.schema.names, chunk])
 
-    def answered(rows: pa.Table, known: pa.Table) -> pa.Table:
+def in_place(text: Column, keys: Broadcast) -> Column:
+    """The features of each text from a table that was sent to the tasks; the text moves nowhere."""
+    @F.pandas_udf("array<double>")
+    def features(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ids = WordKeys()
-        key = known["key"].to_numpy()
-        order = np.argsort(key)
-        key, counts = key[order], {c: known[c].to_numpy()[order] for c in columns}
-        words = [ids(t) for t in rows[text].to_pylist()]
-        w = np.concatenate(words) if words else np.empty(0, np.int64)
-        if len(w) and not (key == START).any():
-            raise RuntimeError("the rows came in another order when read again: write the frame first")
-        h = np.concatenate([contexts(x) for x in words if len(x)]) if len(w) else w
-        lengths = np.array([len(x) for x in words])
-        ends, out = np.cumsum(lengths), []
-        for ratio in ratios(h, w, key, counts, facts):
-            out.append([evidence(ratio[e - n:e]) for n, e in zip(lengths, ends)])
-        rows = rows.drop_columns([chunk])
-        for c, x in zip(into, [*out, np.log1p(lengths)]):
-            rows = rows.append_column(c, pa.array(x, pa.float64()))
-        return rows
-
-    known = (docs.select(text).mapInArrow(asked, "chunk long, key long")
-             .join(model.table(), "key").select("chunk", "key", *columns))
-    left = docs.mapInArrow(named, StructType([*docs.schema.fields, StructField(chunk, LongType())]))
-    schema = StructType([*docs.schema.fields, *[StructField(c, DoubleType()) for c in into]])
-    return left.groupBy(chunk).cogroup(known.groupBy("chunk")).applyInArrow(answered, schema)
+        for batch in texts:
+            yield pd.Series(of_texts(list(batch), ids, lambda h, w: tabled_ratios(h, w, keys.value)))
+
+    return features(text)
+
+
+def fit_curve(x: np.ndarray, toxic: np.ndarray) -> tuple[float, np.ndarray]:
+    """Logistic regression by Newton's method: its log-likelihood, its coefficients."""
+    beta, ridge = np.zeros(x.shape[1]), 1e-3
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+        slope = x.T @ (toxic - p) - ridge * beta
+        bend = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(beta))
+        step = np.linalg.solve(bend, slope)
+        beta = beta + np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-8:
+            break
+    z = np.clip(x @ beta, -30, 30)
+    return float((toxic * z - np.log1p(np.exp(z))).sum()), beta
 
 
 def train(docs: DataFrame, labels: DataFrame, curve_rows: int = 20_000) -> Model | None:
     """Count all labelled training rows and fit the curve; None without both classes.
 
-    The parts of the documents are those of ``kneser_ney.train``.
+    Labels of documents whose crc32(doc_id) mod 5 is 0 are never read. Those with
+    remainder 4 are left out of the counts; of them at most ``curve_rows`` (by hash of
+    the id) fit the curve.
     """
     scratch = Scratch(docs.sparkSession, "kneser-tables")
     part = fold(F.col("doc_id"), 5)
@@ -316,28 +405,41 @@ def train(docs: DataFrame, labels: DataFrame, curve_rows: int = 20_000) -> Model
     if model is None:
         return None
     ids = known.where(part == 4).orderBy(F.xxhash64("doc_id"), "toxic").limit(curve_rows)
-    rows = scratch.cut(texts.where(part == 4).join(ids, "doc_id").select("text", "toxic"))
-    held = weighed(rows, model).drop("text").toPandas()
-    scratch.drop(rows)
-    if held["toxic"].nunique() < 2:      # too few rows for a curve: the ratio itself
-        return replace(model, discounts=DISCOUNTS[:1], pair_discounts=PAIR_DISCOUNTS[:1], curve=(0.0, 1.0, 0.0, 0.0))
-    x, toxic = held.drop(columns="toxic").to_numpy(), held["toxic"].to_numpy().astype(float)
-    n, fits = len(DISCOUNTS), {}
-    for d in range(n):
-        for e in range(len(PAIR_DISCOUNTS)):
-            fits[d, e] = fit_curve(np.c_[x[:, d], x[:, n * (e + 1) + d], x[:, -1], np.ones(len(x))], toxic)
-    d, e = max(fits, key=lambda at: fits[at][0])
-    return replace(model, discounts=DISCOUNTS[d:d + 1], pair_discounts=PAIR_DISCOUNTS[e:e + 1],
-                   curve=tuple(map(float, fits[d, e][1])))
-
-
-def scored(docs: DataFrame, model: Model | None, into: str = "score", size: int = CHUNK) -> DataFrame:
-    """``docs`` with a score from 0 to 1 of each text."""
+    rows = texts.where(part == 4).join(ids, "doc_id").select("text", "toxic")
+    weights, features = weighed(rows, model)
+    held = weights.select("toxic", features).toPandas()
+    d, e, curve = 0, 0, (0.0, 1.0, 0.0, 0.0, 0.0)      # too few rows for a curve: the ratio itself
+    if held["toxic"].nunique() == 2:
+        x, toxic = np.stack(held[features].to_list()), held["toxic"].to_numpy().astype(float)
+        n, fits = len(DISCOUNTS), {}
+        for i in range(n):
+            for j in range(len(PAIR_DISCOUNTS)):
+                pair = 2 * (n * (j + 1) + i)
+                fits[i, j] = fit_curve(np.c_[x[:, 2 * i], x[:, pair], x[:, pair + 1], x[:, -1], np.ones(len(x))], toxic)
+        d, e = max(fits, key=lambda at: fits[at][0])
+        curve = tuple(map(float, fits[d, e][1]))
+    d, e = DISCOUNTS[d], PAIR_DISCOUNTS[e]
+    table = scratch.cut(model.ratios(d, e))
+    scratch.drop(model.pairs, model.words)
+    return replace(model, pairs=None, words=None, discounts=(d,), pair_discounts=(e,), curve=curve, table=table,
+                   rows=table.count())
+
+
+def scored(docs: DataFrame, model: Model | None, into: str = "score", ratio: str | None = None,
+           size: int = CHUNK, table_rows: int = TABLE_ROWS) -> DataFrame:
+    """``docs`` with a score from 0 to 1 of each text, and its plain log ratio as ``ratio``."""
     if model is None:
-        return docs.withColumn(into, F.lit(0.0))
-    out = weighed(docs, model, size=size)
-    words, pairs, length = (F.col(c) for c in out.columns[-3:])
-    per_word, per_pair, per_length, offset = (F.lit(x) for x in model.curve)
-    at = F.greatest(F.lit(-500.0), F.least(F.lit(500.0), -(
-        per_word * words + per_pair * pairs + per_length * length + offset)))
-    return out.withColumn(into, 1 / (1 + F.exp(at))).drop(*out.columns[-3:])
+        return docs.withColumns({into: F.lit(0.0), **({ratio: F.lit(0.0)} if ratio else {})})
+    if model.rows <= table_rows:
+        table = model.table.toPandas().sort_values("key")
+        sent = docs.sparkSession.sparkContext.broadcast({c: table[c].to_numpy() for c in ("key", "ratio")})
+        features, = unused(docs, "_features")
+        out = docs.withColumn(features, in_place(F.col("text"), sent))
+    else:
+        out, features = joined(docs, model.table, tabled_ratios, 5, size=size, pass_bits=bloom(model.table))
+    # evidence and mean of words, then of pairs; the log length
+    x = [F.get(features, F.lit(i)) for i in (0, 2, 3, 4)]
+    line = sum((F.lit(b) * v for b, v in zip(model.curve, x)), F.lit(model.curve[-1]))
+    bounded = F.greatest(F.lit(-500.0), F.least(F.lit(500.0), -line))
+    more = {ratio: F.get(features, F.lit(3))} if ratio else {}
+    return out.withColumns({into: 1 / (1 + F.exp(bounded)), **more}).drop(features)

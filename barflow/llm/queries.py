@@ -49,7 +49,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged = zstd_language.identify(F.col("text"), zstd_language.learn(docs))
-    return (docs.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), judged.alias("j"))
+    return (docs.select("doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), judged.alias("j"))
             .select("doc_id", "held_out", F.col("j.lang").alias("lang_pred"), "j.score", "j.rejected"))
 
 
@@ -66,9 +66,11 @@ def op8_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = kneser_tables.train(docs, read(spark, sf_dir, "labels"))
-    scored = (kneser_tables.scored(docs, model)
-              .select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score"))
-    return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))      # a null id is in no fold
+    scored = kneser_tables.scored(docs, model, "score", "log_ratio").select(
+        "doc_id", held_out.alias("held_out"), "score", "log_ratio")
+    return scored.select("doc_id", "held_out", "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "log_ratio")
 
 
 def op10_pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:

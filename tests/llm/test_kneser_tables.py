@@ -2,14 +2,13 @@ import math
 import random
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from barflow.llm import kneser_tables
 from barflow.llm.common import Scratch, fold
-from barflow.llm.kneser_ney import DISCOUNTS
-from barflow.llm.kneser_tables import PAIR_DISCOUNTS, Model, count, evidence, scored, train, weighed
-from tests.llm.samples import DOCS, SF_LARGE, odd_documents, with_clashes
+from barflow.llm.kneser_tables import (DISCOUNTS, PAIR_DISCOUNTS, Model, count, evidence, of_texts, scored,
+                                       tabled_ratios, train, weighed)
+from tests.llm.samples import DOCS, SF_LARGE, SF_SMALL, odd_documents, with_clashes
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -42,12 +41,11 @@ def plain_evidence(texts, asked):
         return direct + max(share(t, h, e) for t in (0, 1)) * low(c, x, d)
 
     w = asked.split()
-    out = [evidence(np.array([math.log(low(1, x, d) / low(0, x, d)) for x in w])) for d in DISCOUNTS]
+    out = [np.array([math.log(low(1, x, d) / low(0, x, d)) for x in w]) for d in DISCOUNTS]
     for e in PAIR_DISCOUNTS:
         for d in DISCOUNTS:
-            out.append(evidence(np.array([math.log(high(1, h, x, d, e) / high(0, h, x, d, e))
-                                          for h, x in zip([None, *w], w)])))
-    return [*out, math.log1p(len(w))]
+            out.append(np.array([math.log(high(1, h, x, d, e) / high(0, h, x, d, e)) for h, x in zip([None, *w], w)]))
+    return [v for r in out for v in (evidence(r), r.mean() if len(w) else 0.0)] + [math.log1p(len(w))]
 
 
 def test_evidence_matches_plain_class_conditional_counts(spark):
@@ -57,10 +55,23 @@ def test_evidence_matches_plain_class_conditional_counts(spark):
              for t in [0, 1, 0, 0, 1] * 6]
     model = count(spark.createDataFrame(texts, "text string, toxic int"), Scratch(spark, "t"))
     asked = [texts[0][0], texts[1][0], "w1 w2 never seen vile scum w3", "", "never seen at all"]
-    got = weighed(spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "i int, text string"), model).collect()
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "i int, text string")
+    out, features = weighed(frame, model)
+    got = out.collect()
     assert len(got) == len(asked)
+    n = len(DISCOUNTS)
     for row in got:
-        assert np.allclose(row[2:], plain_evidence(texts, asked[row.i]), rtol=1e-9, atol=1e-9)
+        plain = plain_evidence(texts, asked[row.i])
+        assert np.allclose(row[features], plain, rtol=1e-9, atol=1e-9)
+        # the table of one D and E, with what has no effect left out, gives the same
+        for d in (0, 2):
+            for e in (0, 1):
+                table = model.ratios(DISCOUNTS[d], PAIR_DISCOUNTS[e]).toPandas().sort_values("key")
+                known = {c: table[c].to_numpy() for c in table}
+                at = 2 * (n * (e + 1) + d)
+                want = [*plain[2 * d:2 * d + 2], *plain[at:at + 2], plain[-1]]
+                short = of_texts([asked[row.i]], kneser_tables.WordKeys(), lambda h, w: tabled_ratios(h, w, known))
+                assert np.allclose(short[0], want, rtol=1e-9, atol=1e-9)
 
 
 def test_an_expression_of_ordinary_words_is_found(spark):
@@ -103,26 +114,31 @@ def test_held_out_accuracy(spark):
     assert sum(toxic) >= 0.8 * len(toxic)
 
 
-def test_odd_rows_and_small_chunks(spark):
+def test_odd_rows_small_chunks_and_both_ways_to_the_table(spark):
     docs = with_clashes(odd_documents(spark))
     labels = spark.createDataFrame([(i, 1, i % 2) for i in range(1, 12)] + [(None, 1, 1), (3, None, None)], LABELS)
     models = [train(docs, labels), train(docs, labels.where("toxic = 0")), train(docs.where(F.lit(False)), labels)]
     assert isinstance(models[0], Model) and models[1] is None and models[2] is None
     seen = []
-    for size in (kneser_tables.CHUNK, 1):
+    for size, rows in ((kneser_tables.CHUNK, kneser_tables.TABLE_ROWS), (kneser_tables.CHUNK, 0), (1, 0)):
         for model in models:
-            out = scored(docs, model, "of_text", size)
+            out = scored(docs, model, "of_text", size=size, table_rows=rows)
             assert out.columns == [*docs.columns, "of_text"]
-            rows = out.collect()
-            assert len(rows) == docs.count() and all(0.0 <= r.of_text <= 1.0 for r in rows)
-            assert {(r.doc_id, r.text) for r in rows} == {(r.doc_id, r.text) for r in docs.collect()}
-            seen.append(sorted((str(r.doc_id), str(r.text), round(r.of_text, 9)) for r in rows))
-    assert seen[:3] == seen[3:]
-    assert scored(docs.where(F.lit(False)), models[0]).count() == 0
-
-
-def test_rows_that_change_between_the_reads_are_refused(spark):
-    model = count(spark.createDataFrame([("a b", 0), ("a c", 1)], "text string, toxic int"), Scratch(spark, "t"))
-    moving = spark.range(50).select(F.concat(F.lit("a "), F.expr("uuid()")).alias("text"))
-    with pytest.raises(Exception, match="write the frame first"):
-        weighed(moving.withColumn("text", F.concat("text", F.expr("reflect('java.lang.System', 'nanoTime')"))), model).collect()
+            got = out.collect()
+            assert len(got) == docs.count() and all(0.0 <= r.of_text <= 1.0 for r in got)
+            assert {(r.doc_id, r.text) for r in got} == {(r.doc_id, r.text) for r in docs.collect()}
+            seen.append(sorted((str(r.doc_id), str(r.text), round(r.of_text, 9)) for r in got))
+    assert seen[:3] == seen[3:6] == seen[6:]
+    for rows in (0, 1000):
+        assert scored(docs.where(F.lit(False)), models[0], table_rows=rows).count() == 0
+
+
+def test_shuffled_input_is_scored_either_way(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model = train(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
+    want = {r.doc_id: round(r.score, 9) for r in scored(docs, model).collect()}
+    assert len(want) == docs.count()
+    for rows in (0, kneser_tables.TABLE_ROWS):
+        for moved in (docs.repartition(5), docs.dropDuplicates(["text"])):
+            got = scored(moved, model, table_rows=rows, size=1 << 16).collect()
+            assert all(round(r.score, 9) == want[r.doc_id] for r in got) and len(got) == moved.count()

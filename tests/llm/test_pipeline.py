@@ -4,7 +4,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
-from barflow.llm import kneser_ney, simhash_pivots
+from barflow.llm import kneser_tables, simhash_pivots
 from barflow.llm.secret_scan import find_spans
 from barflow.llm.suffix_pieces import MODEL
 from tests.llm.samples import SF_SMALL, odd_documents, with_clashes
@@ -17,8 +17,8 @@ def test_each_stage_acts_on_all_that_came_before(spark):
     assert list(stages) == ["toxicity", "simhash_near_dedup", "secret_scan", "mixing", "sentencepiece"]
 
     clean = stages["toxicity"](spark, docs, SF_SMALL).cache()
-    model = kneser_ney.train(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
-    scores = {r.doc_id: r.s for r in docs.select("doc_id", kneser_ney.toxicity(F.col("text"), model).alias("s")).collect()}
+    model = kneser_tables.train(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
+    scores = {r.doc_id: r.score for r in kneser_tables.scored(docs, model).collect()}
     assert clean.columns == columns
     assert {r.doc_id for r in clean.collect()} == {i for i, s in scores.items() if s < 0.5}
 
