@@ -22,9 +22,9 @@ length-normalised log-likelihoods. The same of its most toxic places: the text i
 into windows of WINDOW words, and the mean is taken over the tenth of the windows (one at
 least) that lean most to toxic, once of P_c(w | h) and once of P_c(w). And the log of its
 length. A logistic curve over them, fitted on labelled documents left out of the counts,
-gives the score; D and E are the values of fixed lists under which it is likeliest.
+gives the score; D is the value of a fixed list under which it is likeliest, E is fixed.
 
-Scoring needs little of the counts once D and E are known. Where neither class has a
+Scoring needs little of the counts once D is known. Where neither class has a
 pair more than E times, both classes leave the same share to the word, and the ratio is
 the word's own; where neither has a word in more than D contexts, its ratio is 1. So one
 table holds the log ratio of every other pair and word: nothing is left out of the
@@ -57,7 +57,7 @@ from barflow.llm.common import Scratch, fold, unused
 from barflow.operators.joins import bounded_broadcast
 
 DISCOUNTS = (1.0, 2.0, 4.0, 8.0, 16.0, 64.0)
-PAIR_DISCOUNTS = (0.75, 4.0, 16.0, 64.0)
+PAIR_DISCOUNTS = (8.0,)   # likeliest of 0.75, 2, 4, 8, 16, 64 on the curve's documents of sf0.1
 WINDOW = 4
 TRIM = b".,;:!?\"'()[]{}*%$&#"
 BROADCAST_BYTES = 64 << 20
