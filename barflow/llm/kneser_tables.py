@@ -61,9 +61,9 @@ PAIR_DISCOUNTS = (8.0,)   # likeliest of 0.75, 2, 4, 8, 16, 64 on the curve's do
 WINDOW = 4
 TRIM = b".,;:!?\"'()[]{}*%$&#"
 BROADCAST_BYTES = 64 << 20
-FLUSH = 2_000_000        # pairs that a counting task holds before it passes them on
+FLUSH = 1_000_000        # pairs that a counting task holds before it passes them on
 TABLE_ROWS = 4_000_000   # of 16 bytes: what a task may be sent of the scoring table
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 ROW = 64                 # bytes that a row counts besides its text
 START = 0                # the context of a text's first word
 CLASSES = ("toxic", "plain")
@@ -342,8 +342,8 @@ def joined(docs: DataFrame, table: DataFrame, ratios: Callable, features: int, t
                                                  names=["chunk", "key"])
 
     def answered(rows: pa.Table, known: pa.Table) -> pa.Table:
-        known = known.to_pandas().drop_duplicates("key").sort_values("key")
-        arrays = {c: known[c].to_numpy() for c in ("key", *columns)}
+        key, first = np.unique(known["key"].to_numpy(), return_index=True)
+        arrays = {"key": key, **{c: known[c].to_numpy()[first] for c in columns}}
         got = of_texts(rows[text].to_pylist(), WordKeys(), lambda h, w: ratios(h, w, arrays))
         return rows.drop_columns([chunk]).append_column(into, pa.array(got, pa.list_(pa.float64())))
 
@@ -431,8 +431,9 @@ def scored(docs: DataFrame, model: Model | None, into: str = "score", ratio: str
     if model is None:
         return docs.withColumns({into: F.lit(0.0), **({ratio: F.lit(0.0)} if ratio else {})})
     if model.rows <= table_rows:
-        table = model.table.toPandas().sort_values("key")
-        sent = docs.sparkSession.sparkContext.broadcast({c: table[c].to_numpy() for c in ("key", "ratio")})
+        table = model.table.toPandas()
+        order = np.argsort(table["key"].to_numpy())
+        sent = docs.sparkSession.sparkContext.broadcast({c: table[c].to_numpy()[order] for c in ("key", "ratio")})
         features, = unused(docs, "_features")
         out = docs.withColumn(features, in_place(F.col("text"), sent))
     else:
