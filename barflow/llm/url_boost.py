@@ -157,16 +157,22 @@ def fit(pages: DataFrame, rules: tuple[Rule, ...] = RULES, fit_rows: int = 20_00
     _, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     labelled = (pages.select("url").select("url", host.alias("host"), path.alias("path"))
                 .withColumn("blocked", (verdict == "block").cast("double")).where("blocked is not null"))
-    n, blocked = labelled.agg(F.count(F.lit(1)), F.sum("blocked")).first()
+    n, blocked, different = labelled.agg(F.count(F.lit(1)), F.sum("blocked"),
+                                         F.approx_count_distinct("url")).first()
     if not n or blocked in (0, n):
         return Judge(None, {}, 0.0, "block" if n and blocked == n else "allow")
     judge = Judge(None, suffix_rates(labelled), blocked / n, "allow")
-    sample = labelled.orderBy(F.xxhash64("url"), "url").limit(fit_rows)
+    # different URLs, each with its number of rows: a copied one takes one place. About twice
+    # the rows wanted pass the cut by hash, and only these are grouped.
+    place = F.pmod(F.xxhash64("url"), F.lit(1 << 30))
+    sample = (labelled.where(place < int((1 << 30) * min(1.0, 2 * fit_rows / max(1, different))))
+              .groupBy("url", "host", "path", "blocked").agg(F.count(F.lit(1)).cast("double").alias("copies"))
+              .orderBy(F.xxhash64("url"), "url").limit(fit_rows))
     features = with_features(sample, judge)
     judge.trees = GBTClassifier(labelCol="blocked", featuresCol="features", maxIter=trees, maxDepth=depth,
-                                stepSize=0.2, seed=11).fit(
+                                stepSize=0.2, seed=11, weightCol="copies").fit(
         VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(features)
-        .select("features", "blocked"))
+        .select("features", "blocked", "copies"))
     return judge
 
 

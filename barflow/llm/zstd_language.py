@@ -44,7 +44,9 @@ LEVEL, TIE_LEVEL = 9, 15
 def learn(docs: DataFrame, sample_docs: int = 256, dictionary_bytes: int = 400 * 1024) -> dict[str, bytes]:
     """Language -> dictionary, the language with most training documents first.
 
-    Training rows: non-null lang and text, crc32(doc_id) mod 4 not 2.
+    Training rows: non-null lang and text, crc32(doc_id) mod 4 not 2. Of each language
+    ``sample_docs`` texts, drawn by hash, fill the dictionary; a text longer than four
+    times its share of it gives one piece of that length, drawn by the text's hash.
     """
     rows = docs.where("lang is not null and text is not null and text <> ''").where(
         fold(F.col("doc_id"), 4) != 2)
@@ -57,7 +59,10 @@ def learn(docs: DataFrame, sample_docs: int = 256, dictionary_bytes: int = 400 *
     cuts = F.create_map(*[F.lit(v) for lang, n in sizes.items()
                           for v in (lang, int((1 << 30) * min(1.0, 4 * sample_docs / n)))])
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    ranked = (rows.select("lang", F.substring("text", 1, 4 * share).alias("text"), place.alias("h"))
+    # of a longer text the piece that its hash picks: any place of it may be drawn
+    room = F.greatest(F.lit(1), F.length("text") - 4 * share + 1)
+    piece = F.substr("text", (F.pmod(F.xxhash64("text"), room) + 1).cast("int"), F.lit(4 * share))
+    ranked = (rows.select("lang", piece.alias("text"), place.alias("h"))
               .where(F.col("h") < F.element_at(cuts, F.col("lang")))
               .withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))))
     sample = ranked.where(F.col("k") <= sample_docs).collect()

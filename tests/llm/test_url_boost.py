@@ -71,3 +71,15 @@ def test_pages_and_odd_tables(spark):
     assert judge_urls(pages.where(F.lit(False))).count() == 0
     only = spark.createDataFrame([(1, "http://a.net/es/x"), (2, "http://b.org/")], "page_id long, url string")
     assert [r.verdict for r in judge_urls(only).collect()] == ["block", "block"]
+
+
+def test_a_copied_url_does_not_fill_the_sample(spark):
+    hot = spark.range(30_000).select(F.lit("http://example.com/en/hot").alias("url"))
+    others = spark.range(3000).select(F.concat(
+        F.when(F.col("id") % 2 == 0, "http://net/fr/ads/").otherwise("http://com/page/"), F.col("id")).alias("url"))
+    rest = spark.createDataFrame([("http://x.org/ads/1",), ("http://x.org/page/1",)], "url string")
+    pages = hot.unionByName(others).unionByName(rest).withColumn("page_id", F.lit(1))
+    got = judge_urls(pages, fit_rows=500).groupBy("verdict").count().collect()
+    assert {r.verdict: r["count"] for r in got}["block"] >= 31_500
+    unknown = judge_urls(pages, fit_rows=500).where("rule is null").collect()
+    assert len(unknown) == 2 and all(0.0 <= r.block_score <= 1.0 for r in unknown)
