@@ -64,6 +64,7 @@ BROADCAST_BYTES = 64 << 20
 FLUSH = 1_000_000        # pairs that a counting task holds before it passes them on
 TABLE_ROWS = 4_000_000   # of 16 bytes: what a task may be sent of the scoring table
 CHUNK = 2 << 20
+TEXTS = 256              # whose words are looked up at once
 ROW = 64                 # bytes that a row counts besides its text
 START = 0                # the context of a text's first word
 CLASSES = ("toxic", "plain")
@@ -168,10 +169,11 @@ class Model:
         return [*CLASSES, *[taken(c, e) for c in CLASSES for e in self.pair_discounts], *KINDS]
 
     def known(self) -> DataFrame:
-        """What is known of a key, a pair's or a word's."""
+        """What is known of a key, a pair's or a word's. Pairs that every discount takes whole have no effect."""
         columns = self.columns()
+        pairs = self.pairs.where(F.greatest(*CLASSES) > min(self.pair_discounts))
         none = [F.lit(0).cast(self.words.schema[c].dataType).alias(c) for c in columns[2:]]
-        return (self.pairs.select(pair_key("h", "w").alias("key"), *CLASSES, *none)
+        return (pairs.select(pair_key("h", "w").alias("key"), *CLASSES, *none)
                 .unionByName(self.words.select("key", *columns)))
 
     def low(self, c: str, d: float) -> Column:
@@ -366,7 +368,10 @@ def in_place(text: Column, keys: Broadcast) -> Column:
     def features(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ids = WordKeys()
         for batch in texts:
-            yield pd.Series(of_texts(list(batch), ids, lambda h, w: tabled_ratios(h, w, keys.value)))
+            out = []
+            for at in range(0, len(batch), TEXTS):
+                out += of_texts(list(batch[at:at + TEXTS]), ids, lambda h, w: tabled_ratios(h, w, keys.value))
+            yield pd.Series(out)
 
     return features(text)
 
