@@ -3,13 +3,14 @@
 import hashlib
 import json
 import math
+import os
 import re
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
-from barflow.plans.daily_job import land_fixture_csv, run_job
+from barflow.plans.daily_job import committed_prices, ingest_new_files, land_fixture_csv, run_job
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("lineitem", "part", "supplier", "orders", "customer", "nation", "region")
@@ -121,3 +122,23 @@ def test_job_on_flat_per_symbol_files(spark, tmp_dir):
     assert {r[0] for r in feats.select("symbol").distinct().collect()} == {"AAA", "BRK", "EEE"}
     last = feats.where("symbol = 'AAA' AND date = '2020-02-12'").first()
     assert last["vol_moving_avg"] == sum(i * 10 for i in range(10, 40)) / 30
+
+
+def test_files_of_a_batch_killed_before_its_commit_are_no_rows(spark, tmp_dir):
+    cfg = land_fixture_csv(spark, SF, tmp_dir)
+    cfg = cfg.__class__(**{**cfg.__dict__, "incremental": True})
+    ingest_new_files(spark, cfg)
+    want = sorted(map(str, committed_prices(spark, cfg).collect()))
+    assert len(want) == spark.read.parquet(cfg.prices_path).count()
+    # as a kill between the file write and the commit leaves it: the last batch's files are there, in no log
+    for cls in ("stock", "etf"):
+        for log in (f"{cfg.checkpoint_path}/{cls}/commits", f"{cfg.prices_path}/asset_class={cls}/_spark_metadata"):
+            last = max((f for f in os.listdir(log) if f.isdigit()), key=int)
+            for name in (last, f".{last}.crc"):
+                if os.path.exists(f"{log}/{name}"):
+                    os.remove(f"{log}/{name}")
+    assert spark.read.parquet(cfg.prices_path).count() == len(want)      # the parent folder shows them all
+    ingest_new_files(spark, cfg)          # the batch without a commit runs again
+    assert spark.read.parquet(cfg.prices_path).count() > len(want)
+    assert sorted(map(str, committed_prices(spark, cfg).collect())) == want
+    assert run_job(spark, cfg, train=False)["features_rows"] == len(want)
