@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("lineitem", "part", "supplier", "orders", "customer", "nation", "region")
 # the training-data queries have tests of their own
 OWN_TESTS = re.compile(r"op\d+_|pipeline$")
-SLOW = {"csv_ingest", "reconcile_counts", "daily_job_features", "train_eval", "score_volume", "csv_ingest_flat"}
+SLOW = {"features_incremental", "csv_ingest", "reconcile_counts", "daily_job_features", "train_eval", "score_volume", "csv_ingest_flat"}
 
 
 def _digest(rows):

@@ -1,0 +1,167 @@
+"""Features by increments: equal to the whole-table window, whatever lands when, also after a kill."""
+
+import os
+import random
+import shutil
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+import barflow.streaming.features as features
+from barflow.operators.rolling import add_rolling_features
+from barflow.plans.daily_job import TIE_BREAKER, committed_prices, land_fixture_csv, run_job
+from barflow.sinks.parquet import write_dataset
+from barflow.streaming.features import MONTH, merge_batch, month_of, plan_update, rows_to_window
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "symbol string, date string, volume int, adj_close float"
+TIES = ("volume", "adj_close")
+
+
+def plain(df):
+    return sorted(map(str, df.select(sorted(df.columns)).collect()))
+
+
+def wanted(prices, window_rows):
+    out = add_rolling_features(prices.withColumn("asset_class", F.lit("stock")), window_rows,
+                               ("asset_class", "symbol"), tie_breaker=TIES, block=None)
+    return plain(out)
+
+
+class Store:
+    """Month-partitioned prices of one class, and their features, by batches."""
+
+    def __init__(self, spark, root, window_rows):
+        self.spark, self.root, self.window_rows, self.batch = spark, root, window_rows, -1
+
+    def prices(self):
+        return self.spark.read.schema(f"{SCHEMA}, month string").parquet(f"{self.root}/prices")
+
+    def land(self, rows):
+        self.new = self.spark.createDataFrame(rows, SCHEMA).withColumn(MONTH, month_of("date"))
+        self.new.write.mode("append").partitionBy(MONTH).parquet(f"{self.root}/prices")
+        self.batch += 1
+
+    def merge(self):
+        return merge_batch(self.spark, self.new, self.batch, self.prices(), "stock", f"{self.root}/index",
+                           f"{self.root}/features", self.window_rows, TIES, None)
+
+    def features(self):
+        return self.spark.read.schema(f"{SCHEMA}, vol_moving_avg double, adj_close_rolling_med float, "
+                                      "asset_class string, month string").parquet(f"{self.root}/features")
+
+    def check(self):
+        assert plain(self.features().drop(MONTH)) == wanted(self.prices().drop(MONTH), self.window_rows)
+
+
+def bar(symbol, date, i):
+    return (symbol, date, i, float(i % 17))
+
+
+@pytest.mark.parametrize("seed,window_rows", [(1, 1), (2, 4), (3, 9)])
+def test_landings_in_any_order_equal_the_whole_window(spark, tmp_dir, seed, window_rows):
+    rng = random.Random(seed)
+    store = Store(spark, tmp_dir, window_rows)
+    # dense and sparse symbols, a missing symbol, missing dates, repeated rows and dates
+    rows = [bar(rng.choice(["A", "A", "A", "B", None]), rng.choice([None] + [f"20{y:02d}-{m:02d}-{d:02d}"
+            for y in (1, 2) for m in (1, 2, 6, 12) for d in (1, 2, 28)]), i % 60) for i in range(150)]
+    rows += [bar("RARE", f"20{y:02d}-03-01", y) for y in range(1, 12)]
+    rng.shuffle(rows)
+    for part in (rows[:90], rows[90:91], rows[91:]):
+        store.land(part)
+        store.merge()
+        store.check()
+
+
+def test_an_append_reads_the_tail_and_writes_the_last_month(spark, tmp_dir):
+    store = Store(spark, tmp_dir, 5)
+    store.land([bar("A", f"2020-{m:02d}-{d:02d}", m * d) for m in range(1, 9) for d in range(1, 4)]
+               + [bar("B", "2020-01-01", 1), bar("B", "2020-02-01", 2)])
+    store.merge()
+    before = set(store.features().inputFiles())
+    store.land([bar("A", "2020-09-01", 1)])
+    assert store.merge() == {"batch": 1, "written": ["2020-09"], "tail": ["2020-07", "2020-08"]}
+    assert before < set(store.features().inputFiles())       # no month but the new one was written
+    store.check()
+
+
+def test_a_late_row_moves_only_the_frames_after_it(spark, tmp_dir):
+    store = Store(spark, tmp_dir, 5)
+    store.land([bar("A", f"2020-{m:02d}-{d:02d}", m * d) for m in range(1, 9) for d in range(1, 4)])
+    store.merge()
+    before = set(store.features().inputFiles())
+    store.land([bar("A", "2020-03-09", 99)])
+    assert store.merge() == {"batch": 1, "written": ["2020-03", "2020-04", "2020-05"],
+                             "tail": ["2020-01", "2020-02"]}
+    kept = before & set(store.features().inputFiles())
+    assert {f.split("month=")[1][:7] for f in kept} == {f"2020-0{m}" for m in (1, 2, 6, 7, 8)}
+    store.check()
+
+
+def test_only_the_planned_months_are_opened(spark, tmp_dir, capsys):
+    store = Store(spark, tmp_dir, 3)
+    store.land([bar("A", f"2020-{m:02d}-{d:02d}", m * d) for m in range(1, 9) for d in range(1, 4)])
+    counts = spark.createDataFrame([("A", f"2020-{m:02d}", 3, m == 8) for m in range(1, 9)],
+                                   "symbol string, month string, n long, is_new boolean")
+    update = plan_update(counts, 3)
+    assert (update.write, update.read) == (["2020-08"], ["2020-07"])
+    rows = rows_to_window(store.prices(), update)
+    rows.explain("formatted")
+    filters = [line for line in capsys.readouterr().out.splitlines() if line.startswith("PartitionFilters")]
+    assert len(filters) == 2 and "2020-08" in filters[0] and "2020-07" in filters[1]
+    assert {r.month for r in rows.select(MONTH).collect()} == {"2020-07", "2020-08"}
+
+
+@pytest.mark.parametrize("lost", [None, "2020-08", "2020-09"])
+def test_a_batch_killed_while_it_replaces_months_runs_again(spark, tmp_dir, monkeypatch, lost):
+    store = Store(spark, tmp_dir, 5)
+    store.land([bar("A", f"2020-{m:02d}-{d:02d}", m * d) for m in range(1, 10) for d in range(1, 4)])
+    store.merge()
+    store.land([bar("A", "2020-08-09", 5), bar("A", "2020-10-01", 7)])
+
+    def killed(*args, **kw):
+        if lost:        # the old month is gone and the new one not yet in its place
+            shutil.rmtree(f"{tmp_dir}/features/asset_class=stock/month={lost}")
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(features, "write_dataset", killed)
+        with pytest.raises(KeyboardInterrupt):
+            store.merge()
+    store.merge()
+    store.check()
+    store.merge()           # finished, but its commit was lost
+    store.check()
+
+
+def test_job_by_two_landings_with_late_files(spark, tmp_dir):
+    second = (F.col("date") >= "2001-09") | F.col("date").startswith("1997-06") & F.col("symbol").endswith("3")
+    cfg = replace(land_fixture_csv(spark, SF, tmp_dir, ~second), incremental=True)
+    first = run_job(spark, cfg, train=False)
+    land_fixture_csv(spark, SF, tmp_dir, second, "append")
+    again = run_job(spark, cfg, train=False)
+    for cls in ("stock", "etf"):
+        one, = first["merged"][cls]
+        two, = again["merged"][cls]
+        assert {"1997-06", "2001-09"} <= set(two["written"])
+        assert len(two["written"]) < len(one["written"]) / 2
+    prices = committed_prices(spark, cfg)
+    assert again["features_rows"] == prices.count()
+    whole = add_rolling_features(prices, partition_cols=("asset_class", "symbol"), tie_breaker=TIE_BREAKER, block=None)
+    assert plain(spark.read.parquet(cfg.features_path).drop(MONTH)) == plain(whole)
+    idle = run_job(spark, cfg, train=False)
+    assert idle["merged"] == {"stock": [], "etf": []}
+
+
+def test_rebalanced_write_keeps_one_file_a_small_partition(spark, tmp_dir):
+    rows = spark.range(20_000).selectExpr("id", "id % 2 AS asset_class").repartition(64)
+    write_dataset(rows, f"{tmp_dir}/many")
+    write_dataset(rows, f"{tmp_dir}/few", rebalance=True)
+
+    def files(path):
+        return sum(f.endswith(".parquet") for _, _, names in os.walk(path) for f in names)
+
+    assert files(f"{tmp_dir}/many") == 128
+    assert files(f"{tmp_dir}/few") == 2
+    assert spark.read.parquet(f"{tmp_dir}/few").count() == 20_000
