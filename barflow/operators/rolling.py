@@ -38,6 +38,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, MapType, StringType, TimestampNTZType, TimestampType
 
+from barflow.functions.names import unused
+
 FeatureSpec = dict[str, Callable[[WindowSpec], Column]]
 
 
@@ -141,21 +143,22 @@ def trailing_window(df: DataFrame, specs: FeatureSpec, partition_cols: Sequence[
         return _apply(df, specs, Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame))
     if isinstance(block, str):
         block = calendar_block(df, order[0], block)
+    blocks, place, rows = unused(df, "_block", "_place", "_rows")
     # rows that tie in the whole order stand in the order of a hash of their values,
     # so that both branches place them alike
     values = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order, F.xxhash64(*values))
+    inside = Window.partitionBy(*keys, blocks).orderBy(*order, F.xxhash64(*values))
     # both branches read the one shuffle by (key, block)
-    placed = (df.withColumn("_block", block)
-              .withColumns({"_place": F.row_number().over(inside)})
-              .withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_block"))))
+    placed = (df.withColumn(blocks, block)
+              .withColumns({place: F.row_number().over(inside)})
+              .withColumn(rows, F.count(F.lit(1)).over(Window.partitionBy(*keys, blocks))))
     halo = window_rows - 1
-    own = Window.partitionBy(*keys, "_block").orderBy("_place").rowsBetween(*frame)
-    whole = _apply(placed, specs, own).where(F.col("_place") > halo)
-    edge = placed.where((F.col("_place") <= halo) | (F.col("_place") > F.col("_rows") - halo))
-    across = Window.partitionBy(*keys).orderBy("_block", "_place").rowsBetween(*frame)
-    heads = _apply(edge, specs, across).where(F.col("_place") <= halo)
-    return whole.unionByName(heads).drop("_block", "_place", "_rows")
+    own = Window.partitionBy(*keys, blocks).orderBy(place).rowsBetween(*frame)
+    whole = _apply(placed, specs, own).where(F.col(place) > halo)
+    edge = placed.where((F.col(place) <= halo) | (F.col(place) > F.col(rows) - halo))
+    across = Window.partitionBy(*keys).orderBy(blocks, place).rowsBetween(*frame)
+    heads = _apply(edge, specs, across).where(F.col(place) <= halo)
+    return whole.unionByName(heads).drop(blocks, place, rows)
 
 
 def _apply(df: DataFrame, specs: FeatureSpec, w: WindowSpec) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from barflow.functions.names import unused
+
 FEATURES = ("vol_moving_avg", "adj_close_rolling_med")
 
 # Status codes and message texts of the scoring response.
@@ -100,17 +102,17 @@ def score_volume(df: DataFrame, models: Mapping[str, object], class_col: str = "
     """
     from barflow.operators.model import assembler
 
-    given = {f: f"_given_{i}" for i, f in enumerate(features)}
-    out = df.withColumns({g: F.col(f) for f, g in given.items()})
+    aside, *names = unused(df, "_features", *[f"_given_{i}" for i in range(len(features))],
+                           *[f"_prediction_{i}" for i in range(len(models))])
+    given, tmp = dict(zip(features, names)), names[len(features):]
+    # the models read a column ``features``; the input's own of that name steps aside
+    out = df.withColumnRenamed("features", aside).withColumns({g: F.col(f) for f, g in given.items()})
     out = assembler(features).transform(out.withColumns({f: as_number(df, f) for f in features}))
     pick = F.lit(None).cast("double")
-    tmp = []
-    for i, (cls, model) in enumerate(models.items()):
-        col = f"_prediction_{i}"
+    for col, (cls, model) in zip(tmp, models.items()):
         booster = model.stages[-1].copy().setPredictionCol(col)
         out = booster.transform(out)
         pick = F.when(F.col(class_col) == cls, F.col(col)).otherwise(pick)
-        tmp.append(col)
-    out = out.withColumn("prediction", pick).drop("features", *tmp)
+    out = out.withColumn("prediction", pick).drop("features", *tmp).withColumnRenamed(aside, "features")
     out = out.withColumns({f: F.col(g) for f, g in given.items()}).drop(*given.values())
     return score_guard(out, "prediction", class_col, features)
