@@ -36,7 +36,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, MapType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, DecimalType, MapType, StringType, TimestampNTZType, TimestampType
 
 from barflow.functions.names import unused
 
@@ -56,17 +56,27 @@ def lower_median(col: str | Column, w: WindowSpec, method: str = "approx") -> Co
     return F.when(n > 0, F.element_at(s, F.ceil(n / 2).cast("int")))
 
 
+def decimal_mean(col: str, w: WindowSpec, scale: int) -> Column:
+    """Mean over ``w`` of the values rounded to ``scale`` decimals, added as decimals: the
+    same in any order of the frame's rows, whatever their magnitudes. Null where a value of
+    the frame is not finite or has more than 28 - ``scale`` digits before the point."""
+    value = F.col(col).cast("double").try_cast(DecimalType(28, scale))
+    n = F.count(value).over(w)
+    return F.when((n > 0) & (n == F.count(col).over(w)), F.sum(value).over(w).cast("double") / n)
+
+
 def feature_specs(window_rows: int = 30, volume_col: str = "volume",
                   price_col: str = "adj_close", median_method: str = "approx",
                   moving_avg: bool = True, rolling_median: bool = True,
-                  rolling_mean: bool = False) -> FeatureSpec:
+                  rolling_mean: bool = False, scale: int | None = None) -> FeatureSpec:
     specs: FeatureSpec = {}
     if moving_avg:
         specs["vol_moving_avg"] = lambda w: F.avg(volume_col).over(w)
     if rolling_median:
         specs["adj_close_rolling_med"] = lambda w: lower_median(price_col, w, median_method)
     if rolling_mean:
-        specs["adj_close_rolling_mean"] = lambda w: F.avg(price_col).over(w)
+        specs["adj_close_rolling_mean"] = lambda w: (
+            F.avg(price_col).over(w) if scale is None else decimal_mean(price_col, w, scale))
     return specs
 
 
@@ -104,9 +114,11 @@ def rolling_median(df: DataFrame, window_rows: int = 30, median_method: str = "a
 
 
 def rolling_mean(df: DataFrame, window_rows: int = 30, **kw) -> DataFrame:
-    """``adj_close_rolling_mean`` (the documented rolling mean)."""
+    """``adj_close_rolling_mean`` (the documented rolling mean). ``scale``: add decimals
+    of that many places, so that the order of rows that tie cannot matter."""
     specs = feature_specs(window_rows, price_col=kw.pop("price_col", "adj_close"),
-                          moving_avg=False, rolling_median=False, rolling_mean=True)
+                          moving_avg=False, rolling_median=False, rolling_mean=True,
+                          scale=kw.pop("scale", None))
     return _single_feature(df, specs, window_rows, **kw)
 
 

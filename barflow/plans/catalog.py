@@ -41,6 +41,7 @@ from barflow.operators.rolling import (
 )
 from barflow.operators.score import score_guard, score_volume
 from barflow.session import materialise, remove_path, scratch_path
+from barflow.sinks.bucketed import write_bucketed
 from barflow.sinks.parquet import append_run_metrics
 from barflow.sources import fixtures as fx
 from barflow.sources.csv_prices import (
@@ -136,6 +137,19 @@ def q_rolling_mean_30(spark, sf):
     return out.withColumn("adj_close_rolling_mean", F.col("adj_close_rolling_mean") / 100.0)
 
 
+def q_rolling_mean_decimal(spark, sf):
+    # W4 on adj_close itself, as decimals of four places
+    return rolling_mean(fx.stock_bars(spark, sf), scale=4)
+
+
+def q_rolling_features_bucketed(spark, sf):
+    """W1-W3 and W5 over bars written bucketed by class, symbol and year."""
+    bars = _combined_bars(spark, sf).withColumn("bar_year", F.substring("date", 1, 4))
+    table = write_bucketed(bars, scratch_path(spark, "bucketed"), ("asset_class", "symbol", "bar_year"), 16, ("date",))
+    return add_rolling_features(table, partition_cols=("asset_class", "symbol"),
+                                block=F.col("bar_year")).drop("bar_year")
+
+
 def q_rolling_features(spark, sf):
     return _stock_features(spark, sf)
 
@@ -401,6 +415,8 @@ SPARK_QUERIES: dict[str, QueryFn] = {
     "moving_avg_30": q_moving_avg_30,
     "rolling_median_30": q_rolling_median_30,
     "rolling_mean_30": q_rolling_mean_30,
+    "rolling_mean_decimal": q_rolling_mean_decimal,
+    "rolling_features_bucketed": q_rolling_features_bucketed,
     "rolling_features": q_rolling_features,
     "rolling_features_combined": q_rolling_features_combined,
     "combine_union_all": q_combine_union_all,
@@ -650,6 +666,11 @@ SELECT asset_class, symbol, date, true AS scored, true AS volume_is_truncated, t
        true AS message_fits
 FROM combined_named""",
     "rolling_features_split": ORACLE_SQL["rolling_features"],
+    "rolling_features_bucketed": ORACLE_SQL["rolling_features_combined"],
+    "rolling_mean_decimal": _CTE + f"""
+SELECT *, CAST(sum(CAST(CAST(adj_close AS DOUBLE) AS DECIMAL(28, 4))) OVER w AS DOUBLE)
+          / count(adj_close) OVER w AS adj_close_rolling_mean
+FROM stocks WINDOW w AS (PARTITION BY symbol ORDER BY date {W30})""",
     "daily_job_features": ORACLE_SQL["rolling_features_combined"],
     "features_incremental": ORACLE_SQL["rolling_features_combined"],
     "rolling_ticks_by_flag": f"""

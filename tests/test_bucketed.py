@@ -1,0 +1,96 @@
+"""W1-W3 over a bucketed table, and means added as decimals."""
+
+import contextlib
+import io
+import random
+import re
+from dataclasses import replace
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from barflow.operators.rolling import add_rolling_features, rolling_mean
+from barflow.plans import daily_job as J
+from barflow.sinks.bucketed import open_bucketed, table_name, write_bucketed
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+KEYS = ("asset_class", "symbol", "bar_year")
+BARS = "asset_class string, symbol string, date string, volume int, adj_close float, bar_year string"
+
+
+def _plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def _bars(spark, n=600):
+    """One symbol has two thirds of the rows."""
+    rnd, rows = random.Random(n), []
+    for i in range(n):
+        symbol = "HOT" if i % 3 else f"S{i % 5}"
+        date = f"{2000 + i // 100}-{i % 12 + 1:02d}-{i:04d}"
+        rows.append((rnd.choice(("stock", "etf")), symbol, date, rnd.randint(0, 9), rnd.random(), date[:4]))
+    return spark.createDataFrame(rows, BARS)
+
+
+def test_window_over_buckets_equals_the_plain_one_and_moves_only_edges(spark, tmp_dir):
+    bars = _bars(spark)
+    table = write_bucketed(bars, f"{tmp_dir}/t's", KEYS, 4, ("date",))
+    assert sorted(table.collect()) == sorted(bars.collect())
+    by = ("asset_class", "symbol")
+    out = add_rolling_features(table, 5, by, block=F.col("bar_year"))
+    # each branch reads the buckets as they lie; the one shuffle is the edges' window by key
+    hashed = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", _plan(out))
+    assert len(hashed) == 1 and "bar_year" not in hashed[0] and "_block" not in hashed[0]
+    assert sorted(out.collect()) == sorted(add_rolling_features(bars, 5, by, block=None).collect())
+    plain = add_rolling_features(table, 5, KEYS, block=None)
+    assert "Exchange" not in _plan(plain) and "Bucketed: true" in _plan(plain)
+
+
+def test_bucketed_table_is_replaced_and_opened_again(spark, tmp_dir):
+    path = f"{tmp_dir}/again"
+    write_bucketed(_bars(spark), path, KEYS, 4)
+    less = _bars(spark).where("symbol = 'HOT'").drop("volume")
+    assert sorted(write_bucketed(less, path, KEYS, 3).collect()) == sorted(less.collect())
+    spark.sql(f"DROP TABLE {table_name(path)}")                 # as for another session
+    again = open_bucketed(spark, path, less.schema, KEYS, 3)
+    assert sorted(again.collect()) == sorted(less.collect())
+    empty = write_bucketed(less.limit(0), path, KEYS, 3)
+    assert empty.count() == 0 and empty.columns == less.columns
+    with pytest.raises(ValueError):
+        write_bucketed(less, path, KEYS, 0)
+
+
+def test_job_over_bucketed_prices(spark, tmp_dir):
+    cfg = J.land_fixture_csv(spark, SF_SMALL, tmp_dir)
+    plain = J.run_job(spark, replace(cfg, root=f"{tmp_dir}/plain"), train=False)
+    laid = replace(cfg, root=f"{tmp_dir}/laid", price_buckets=4)
+    for _ in range(2):                                          # a rerun doubles nothing
+        assert J.run_job(spark, laid, train=False) == plain
+    cols = spark.read.parquet(f"{tmp_dir}/plain/features").columns
+    assert (sorted(map(str, spark.read.parquet(laid.features_path).select(cols).collect()))
+            == sorted(map(str, spark.read.parquet(f"{tmp_dir}/plain/features").collect())))
+    prices = J.priced(spark, laid, spark.read.parquet(laid.prices_path).schema)
+    hashed = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", _plan(J.job_features(prices, laid)))
+    assert len(hashed) == 1 and J.YEAR not in hashed[0]
+
+
+def test_decimal_mean_does_not_depend_on_the_order_of_ties(spark):
+    rnd = random.Random(3)
+    values = [rnd.choice((1e15, -1e15, 0.1, 0.2, None)) for _ in range(60)]
+    rows = [("A", "d", v) for v in values]
+    total = sum((Decimal(repr(v)).quantize(Decimal("0.0001"), ROUND_HALF_UP) for v in values if v), Decimal(0))
+    for seed in range(3):
+        rnd.shuffle(rows)
+        df = spark.createDataFrame(rows, "symbol string, date string, p double").repartition(3)
+        out = rolling_mean(df, 60, price_col="p", scale=4, block=None).collect()
+        assert out[-1].adj_close_rolling_mean == float(total) / sum(v is not None for v in values)
+    odd = [("A", "1", None), ("A", "2", 1.0), ("A", "3", float("nan")), ("A", "4", 3.0), ("A", "5", 1e30),
+           ("A", "6", 2.0), ("A", "7", 4.0)]
+    df = spark.createDataFrame(odd, "symbol string, date string, p double")
+    out = rolling_mean(df, 2, price_col="p", scale=2, block=None).orderBy("date").collect()
+    assert [r.adj_close_rolling_mean for r in out] == [None, 1.0, None, None, None, None, 3.0]
