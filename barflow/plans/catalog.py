@@ -143,9 +143,12 @@ def q_rolling_mean_decimal(spark, sf):
 
 
 def q_rolling_features_bucketed(spark, sf):
-    """W1-W3 and W5 over bars written bucketed by class, symbol and year."""
+    """W1-W3 and W5 over bars written bucketed by class, symbol and year; as many buckets as
+    the session's shuffles have partitions, which follow the data (``recommended_conf``)."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bars = _combined_bars(spark, sf).withColumn("bar_year", F.substring("date", 1, 4))
-    table = write_bucketed(bars, scratch_path(spark, "bucketed"), ("asset_class", "symbol", "bar_year"), 16, ("date",))
+    table = write_bucketed(bars, scratch_path(spark, "bucketed"), ("asset_class", "symbol", "bar_year"),
+                           buckets, ("date",))
     return add_rolling_features(table, partition_cols=("asset_class", "symbol"),
                                 block=F.col("bar_year")).drop("bar_year")
 
