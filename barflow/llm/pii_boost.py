@@ -6,18 +6,18 @@ spaced addresses, digit groups with any separators, dotted numbers, account code
 Each candidate has features of its format (lengths, groups, separators, checksum)
 and of its context (characters around it, telling words before it).
 
-Trees learn on candidates of a sample of documents. What the base patterns cover
+Trees learn on the candidates of all documents. What the base patterns cover
 teaches nothing by itself: each base span is rewritten, where it stands, into loose
 forms that the patterns miss (LOOSE: spelled-out and spaced addresses, other
 separators, no plus sign, a bank account number for a card number), which are personal
 data, and into listed forms that look alike and are none (ALIKE). Candidates that no
 base span covers are no personal data either, unless their loose reading holds
 (``may_be``: a checksum, an address, a telephone number's groups); those have no label.
-No feature tells of a plain @ or a leading plus sign. The sample holds about
-``fit_docs`` documents, by a hash of id and text, and ``fit_rows`` candidates at most;
-one half by document fits the trees, the other sets each kind's threshold: half way
-below the lowest score down to which the share of true candidates stays at
-``precision``, and one half at least. Candidates that reach their
+No feature tells of a plain @ or a leading plus sign. The labelled candidates are
+written once. One half by document, by a hash of id and text, fits the trees; the other
+sets each kind's threshold: half way below the lowest score down to which the share of
+true candidates stays at ``precision``, and one half at least. It is read off the counts
+by score, where scores that agree in ``SCORE_BINS`` parts stand or fall together. Candidates that reach their
 threshold and overlap no base span and no better candidate are added as spans of
 kind ``like_<kind>``. Base spans always stay.
 
@@ -41,6 +41,9 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from barflow.llm.common import Scratch
 
 # The base patterns. No match of ip can start inside a run of digits,
 # and none of email inside a run of its first characters; stating so keeps long
@@ -137,6 +140,8 @@ GENERATORS = (
     ("phone", re.compile(r"(?<![\w])\+?\(?[0-9]{1,4}\)?(?:[\x20./-]{0,2}\(?[0-9]{2,5}\)?){2,5}(?![\w])")),
 )
 FEATURES = 22
+ROWS_AT_ONCE = 5_000            # labelled candidates that a task hands on together
+SCORE_BINS = 1 << 16            # parts of the range of scores that are told apart
 
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
@@ -315,43 +320,70 @@ def threshold(scores: np.ndarray, true: np.ndarray, precision: float, least: int
     return float(s[good[-1]]) if len(good) else float("inf")
 
 
-def bar(scores: np.ndarray, true: np.ndarray, precision: float) -> float:
-    """Half way from the ``threshold`` to the next lower score, and one half at least."""
-    lowest = threshold(scores, true, precision)
-    below = scores[scores < lowest].max(initial=0.0)
-    return max(0.5, (lowest + below) / 2) if lowest < np.inf else lowest
+def bar(bins: pd.DataFrame, precision: float, least: int = 20) -> float:
+    """Half way from the ``threshold`` to the next lower score, and one half at least, from
+    the rows ``n``, the true ones ``t`` and the ``lowest`` and ``highest`` score of each bin."""
+    bins = bins.sort_values("lowest", ascending=False)
+    n, t = bins["n"].cumsum().to_numpy(), bins["t"].cumsum().to_numpy()
+    good = np.flatnonzero((t >= precision * n) & (n >= least))
+    if not len(good):
+        return float("inf")
+    below = bins["highest"].to_numpy()[good[-1] + 1:]
+    return max(0.5, float(bins["lowest"].iloc[good[-1]] + (below[0] if len(below) else 0.0)) / 2)
 
 
-def fit(docs: DataFrame, fit_docs: int = 20_000, fit_rows: int = 20_000, precision: float = 0.98,
-        trees: int = 20, depth: int = 4) -> Trees:
-    spark = docs.sparkSession
-    n = docs.count()
+def candidate_rows(docs: DataFrame) -> DataFrame:
+    """(place, start, true, x) of all labelled candidates, those of repeated rows once."""
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    cut = (1 << 30) * min(1.0, fit_docs / max(1, n))
-    sample = docs.select("text", place.alias("place")).where(
-        (F.col("place") < cut) & F.col("text").rlike(ANCHOR.pattern))
 
     def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = []
         for batch in batches:
-            rows = []
             for text, where in zip(batch["text"], batch["place"]):
                 rows += [(where, start, true, x) for start, true, x in labelled(text)]
-            yield pd.DataFrame(rows, columns=["place", "start", "true", "x"])
+                if len(rows) >= ROWS_AT_ONCE:
+                    yield pd.DataFrame(rows, columns=["place", "start", "true", "x"])
+                    rows = []
+        yield pd.DataFrame(rows, columns=["place", "start", "true", "x"])
+
+    return (docs.select("text", place.alias("place")).where(F.col("text").rlike(ANCHOR.pattern))
+            .mapInPandas(drawn, "place long, start long, true int, x array<double>").distinct())
+
 
-    rows = (sample.mapInPandas(drawn, "place long, start long, true int, x array<double>").distinct()
-            .orderBy(F.xxhash64("place", "start"), "place", "start", "x").limit(fit_rows).toPandas())
-    half = (rows["place"] % 2).to_numpy() if len(rows) else np.empty(0)
-    learn, held = rows[half == 0], rows[half == 1]
-    if len(learn) < 40 or learn["true"].nunique() < 2 or len(held) < 40:
+def score_bins(held: DataFrame, trees: Trees) -> pd.DataFrame:
+    """By kind and score bin: rows, true ones, lowest and highest score; at most so many
+    rows as there are kinds and bins."""
+    @F.pandas_udf(T.DoubleType())
+    def score(x: pd.Series) -> pd.Series:
+        return pd.Series([trees.score(r.tolist()) for r in x], dtype=float)
+
+    return (held.select("true", F.col("x")[0].cast("int").alias("kind"), score("x").alias("score"))
+            .groupBy("kind", F.floor(F.col("score") * SCORE_BINS).alias("bin"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("true").alias("t"),
+                 F.min("score").alias("lowest"), F.max("score").alias("highest")).toPandas())
+
+
+def fit(docs: DataFrame, fit_rows: int | None = None, precision: float = 0.98,
+        trees: int = 20, depth: int = 4) -> Trees:
+    """Trees and thresholds from the candidates of all documents; ``fit_rows`` is for trials
+    with no more than so many of them."""
+    scratch = Scratch(docs.sparkSession, "pii_candidates")
+    rows = candidate_rows(docs)
+    if fit_rows is not None:
+        rows = rows.orderBy(F.xxhash64("place", "start"), "place", "start", "x").limit(fit_rows)
+    kept = scratch.cut(rows)
+    half = {r.half: r for r in kept.groupBy((F.col("place") % 2).alias("half")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("true").alias("labels")).collect()}
+    if 0 not in half or half[0].n < 40 or half[0].labels < 2 or 1 not in half or half[1].n < 40:
+        scratch.drop(kept)
         return Trees()
-    frame = spark.createDataFrame(learn.assign(label=learn["true"].astype(float),
-                                               x=learn["x"].map(list))[["label", "x"]])
+    learn, held = (kept.where(F.col("place") % 2 == h) for h in (0, 1))
     model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=5).fit(
-        frame.select("label", array_to_vector("x").alias("features")))
+        learn.select(F.col("true").cast("double").alias("label"), array_to_vector("x").alias("features")))
     made = Trees(as_lists(model))
-    x = np.stack(held["x"].to_list())
-    scores, true = np.array([made.score(r) for r in x.tolist()]), held["true"].to_numpy()
-    made.bars = tuple(bar(scores[x[:, 0] == k], true[x[:, 0] == k], precision) for k in range(len(KINDS)))
+    bins = score_bins(held, made)
+    made.bars = tuple(bar(bins[bins["kind"] == k], precision) for k in range(len(KINDS)))
+    scratch.drop(kept)
     return made
 
 

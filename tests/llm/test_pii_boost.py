@@ -155,3 +155,23 @@ def test_very_long_numbers_and_spelled_out_signs():
     for sign in ("(at)", "( at )", "[at]", "[ at ]"):
         text = f"john {sign} example.com"
         assert all_spans(text, sure) and all_spans(text, sure) == all_spans(text + " 1", sure)[:1]
+
+
+def test_trees_and_thresholds_learn_from_every_document(spark, monkeypatch):
+    import barflow.llm.pii_boost as pii
+    n = 25_000                        # more documents, and more candidates, than a sample of 20,000 held
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.format_string("mail a%d@b.example.com ok", "id").alias("text"))
+    seen = []
+    real = pii.score_bins
+    monkeypatch.setattr(pii, "score_bins", lambda held, trees: seen.append(
+        (held.select("place").distinct().count(), held.count())) or real(held, trees))
+    places = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("p")).distinct()
+    assert fit(docs, trees=2, depth=2).trees
+    assert seen[0][0] == places.where("p % 2 = 1").count() and seen[0][1] > 20_000
+
+
+def test_bar_from_counts_by_score():
+    import pandas as pd
+    from barflow.llm.pii_boost import bar
+    bins = pd.DataFrame([(30, 30, 0.9, 0.91), (30, 0, 0.6, 0.7), (10, 0, 0.1, 0.1)], columns=["n", "t", "lowest", "highest"])
+    assert bar(bins, 0.98) == (0.9 + 0.7) / 2 and bar(bins[:1], 0.98) == 0.5 and bar(bins[1:], 0.98) == float("inf")
