@@ -41,8 +41,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 # "▁" and letters, "▁" and anything else, "▁" alone; cuts depend on two neighbours only
 UNIT = re.compile(rf"{SPACE}*(?:[^\W\d_²]+|(?:[^\w{SPACE}]|[\d_²])+)|{SPACE}+")
-KNOWN_UNITS = 700_000        # units in a generation of those a task remembers
-SLICE_CHARS = 8_000_000      # characters encoded at once
+KNOWN_UNITS = 150_000        # units in a generation of those a task remembers
+SLICE_CHARS = 2_000_000      # characters encoded at once
+TEXTS = 512                  # texts taken out of a batch at once
 
 
 class Vocabulary:
@@ -258,7 +259,7 @@ class Encoder:
         """Have all ``units`` in ``known``; two generations bound what is remembered."""
         if len(self.known) + len(units) > KNOWN_UNITS:
             self.known, self.older = {}, self.known
-        if len(self.agreed) > 4 * KNOWN_UNITS:
+        if len(self.agreed) > 2 * KNOWN_UNITS:
             self.agreed.clear()
         known, older, new = self.known, self.older, []
         for u in units - known.keys():
@@ -275,6 +276,10 @@ class Encoder:
             known[u] = self.relax(at, u, starts, ranks)
             at += len(u) + 1
 
+    def forget(self) -> None:
+        """Let go of what was learnt of texts; the vocabulary's own tables stay."""
+        self.known, self.older, self.agreed = {}, {}, {}
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
         split = [UNIT.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
@@ -320,7 +325,9 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, n_chars, n_tokens, token_ids, round_trip: one row per document.
 
     ``round_trip``: decoding the ids gives the text ("▁" read as a space). The
-    vocabulary is read on the driver; tasks receive its pieces (a few MB).
+    vocabulary is read on the driver; tasks receive its pieces (a few MB). Python
+    workers outlive their tasks and wait beside those of other stages, so a task
+    forgets its units when it ends.
     """
     vocabulary = Vocabulary.load(model)
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("n_tokens", pa.int64()),
@@ -328,21 +335,29 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = tools(model, vocabulary)
-        for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for begin, end in slices(texts):
-                part = [t or "" for t in texts[begin:end]]
-                coded = encoder.encode(part)
-                sizes = np.array([len(c) // 4 for c in coded], dtype=np.int64)
-                values = np.frombuffer(b"".join(coded), dtype="<i4")
-                offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32)
-                same = [decoder.decode(values[a:b].tolist()) == t.replace(SPACE, " ")
-                        for t, a, b in zip(part, offsets[:-1].tolist(), offsets[1:].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [keys.slice(begin, end - begin).cast(pa.int64()),
-                     pa.array([len(t) for t in part], pa.int64()), pa.array(sizes),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)), pa.array(same, pa.bool_())],
-                    schema=schema)
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, TEXTS):
+                    rows = batch.slice(at, TEXTS)
+                    yield from answered(rows.column(0), rows.column(1).to_pylist(), encoder, decoder)
+        finally:
+            encoder.forget()
+
+    def answered(keys: pa.Array, texts: list[str | None], encoder: Encoder,
+                 decoder: Decoder) -> Iterator[pa.RecordBatch]:
+        for begin, end in slices(texts):
+            part = [t or "" for t in texts[begin:end]]
+            coded = encoder.encode(part)
+            sizes = np.array([len(c) // 4 for c in coded], dtype=np.int64)
+            values = np.frombuffer(b"".join(coded), dtype="<i4")
+            offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+            same = [decoder.decode(values[a:b].tolist()) == t.replace(SPACE, " ")
+                    for t, a, b in zip(part, offsets[:-1].tolist(), offsets[1:].tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [keys.slice(begin, end - begin).cast(pa.int64()),
+                 pa.array([len(t) for t in part], pa.int64()), pa.array(sizes),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)), pa.array(same, pa.bool_())],
+                schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(
         work, "doc_id long, n_chars long, n_tokens long, token_ids array<int>, round_trip boolean")

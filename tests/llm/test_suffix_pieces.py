@@ -52,3 +52,26 @@ def test_odd_rows(spark):
     assert len(rows) == docs.count() and all(r.round_trip for r in rows)
     assert {r.doc_id: r.n_tokens for r in rows}[1] == 0
     assert encode(docs.where(F.lit(False))).count() == 0
+
+
+def test_idle_workers_hold_no_units(spark):
+    docs = spark.createDataFrame([(i, f"word{i} of text {i * i}") for i in range(400)], "doc_id long, text string")
+    assert encode(docs.coalesce(1)).count() == 400
+
+    def held(batches):
+        from barflow.llm import suffix_pieces
+
+        known = sum(len(e.known) + len(e.older) + len(e.agreed) for e, _ in suffix_pieces._ready.values())
+        for batch in batches:
+            yield batch.assign(known=known)[["known"]]
+
+    assert spark.range(64).repartition(4).mapInPandas(held, "known long").agg(F.max("known")).first()[0] == 0
+
+
+def test_what_a_task_remembers_is_bounded(vocabulary, library, monkeypatch):
+    monkeypatch.setattr("barflow.llm.suffix_pieces.KNOWN_UNITS", 50)
+    encoder = Encoder(vocabulary)
+    for at in range(0, 2000, 20):
+        texts = [f"item{i} again{i % 7}" for i in range(at, at + 20)]
+        assert [list(memoryview(c).cast("i")) for c in encoder.encode(texts)] == [library.encode(t) for t in texts]
+    assert max(len(encoder.known), len(encoder.older), len(encoder.agreed) // 3) <= 60
