@@ -78,3 +78,48 @@ def test_score_volume_routes_by_class(spark, prepared):
     out = {r["asset_class"]: r for r in score_volume(req, models).collect()}
     assert out["stock"]["status"] in ("ok", "negative")
     assert out["etf"]["status"] == "invalid_output"      # no model for the class
+
+
+@pytest.fixture()
+def large_set(spark):
+    x, y = F.rand(1) * 100, F.rand(2) * 10
+    return (spark.range(30_000).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("symbol"),
+                                       F.lit("2020-01-02").alias("date"), x.alias("vol_moving_avg"),
+                                       y.alias("adj_close_rolling_med"))
+            .withColumn("volume", F.floor(F.col("vol_moving_avg") * 3 + F.pow("adj_close_rolling_med", F.lit(2))
+                                          + F.randn(3) * 5)).checkpoint())
+
+
+def test_large_training_sets_become_points_that_hold_every_row(spark, large_set, monkeypatch):
+    for cells in (65_536, 4_096):
+        monkeypatch.setattr(M, "CELLS", cells)
+        points = M.grouped_points(large_set, M.FEATURES, M.TARGET, F.col("vol_moving_avg") * 0)
+        n, rows, volume, price = points.agg(
+            F.count(F.lit(1)), F.sum("_weight"), F.sum(F.col("_weight") * F.col("volume")),
+            F.sum(F.col("_weight") * F.col("adj_close_rolling_med"))).first()
+        whole = large_set.agg(F.sum("volume"), F.sum("adj_close_rolling_med")).first()
+        assert n <= min(cells, 30_000) and rows == 30_000
+        assert volume == pytest.approx(whole[0]) and price == pytest.approx(whole[1])
+    odd = large_set.withColumn("vol_moving_avg", F.when(F.col("symbol").endswith("7"), F.lit(float("nan")))
+                               .when(F.col("symbol").endswith("8"), None).otherwise(F.col("vol_moving_avg")))
+    assert M.grouped_points(odd, M.FEATURES, M.TARGET, F.lit(0)).agg(F.sum("_weight")).first()[0] == 30_000
+    assert M.grouped_points(large_set.withColumn("volume", F.lit(None).cast("long")), M.FEATURES, M.TARGET,
+                            F.lit(0)).where(~F.isnan("volume")).isEmpty()
+    assert M.grouped_points(large_set, ["symbol", "vol_moving_avg"], M.TARGET, F.lit(0)) is None
+
+
+def test_trees_on_points_are_as_good_and_fewer_points_are_fitted(spark, large_set, monkeypatch):
+    fitted, real = [], M._in_few_tasks
+    monkeypatch.setattr(M, "_in_few_tasks", lambda df, rows: fitted.append(df.count()) or real(df, rows))
+    mae = []
+    for most in (400_000, 10_000):
+        monkeypatch.setattr(M, "ROWS_AS_THEY_ARE", most)
+        monkeypatch.setattr(M, "CELLS", 4_096)
+        monkeypatch.setattr(M, "SHARES", 1)
+        every = dict(subsampling_rate=1.0, feature_subset="all")     # nothing drawn: the trees can be compared
+        model = M.train_volume_model(large_set, 10, M.BoostParams(max_depth=4, **every))
+        mae.append(M.eval_curve(model, large_set)[-1])       # of the rows
+        best, table = M.select_tree_count(large_set, (2, 4), folds=2, params=M.BoostParams(max_depth=3, **every))
+        mae.append(table[-1]["mse"])
+    assert fitted[0] == 30_000 and fitted[3] <= 4_096 and sum(fitted[4:]) <= 2 * 4_096
+    assert mae[2:] == pytest.approx(mae[:2], rel=0.05)      # candidate splits come from a sample of either
