@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from barflow.operators.combine import combine_assets, reconcile_counts
 from barflow.operators.metrics import regression_metrics
@@ -138,3 +139,14 @@ def test_recommended_conf_scales_with_data():
     assert int(big["spark.sql.shuffle.partitions"]) % 8000 == 0
     assert int(big["spark.sql.shuffle.partitions"]) * (512 << 20) >= 100 << 40
     assert int(big["spark.sql.shuffle.partitions"]) <= 250_000
+
+
+def test_the_guard_names_a_missing_class_and_works_the_status_out_once(spark):
+    df = spark.createDataFrame([(None, 1.5, 2.0, 5.0)], "asset_class string, vol_moving_avg double, "
+                               "adj_close_rolling_med double, prediction double")
+    out = score_guard(df)
+    assert out.columns[-3:] == ["predicted_volume", "status", "message"]
+    assert out.first()["message"] == "The predicted null volume given (1.5, 2.0) is 5."
+    text = df.withColumn("vol_moving_avg", F.col("vol_moving_avg").cast("string"))
+    plan = score_guard(text)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("THEN invalid_output") <= 2 and "format_string" not in plan
