@@ -150,3 +150,18 @@ def test_the_guard_names_a_missing_class_and_works_the_status_out_once(spark):
     text = df.withColumn("vol_moving_avg", F.col("vol_moving_avg").cast("string"))
     plan = score_guard(text)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("THEN invalid_output") <= 2 and "format_string" not in plan
+
+
+def test_the_guard_reads_and_writes_a_number_once(spark, tmp_dir):
+    rows = [("stock", t, p, 5.0) for t in ("1.15", "abc", "", None, "NaN", "1e20", "0.0001", "12345678.25", "-0.5")
+            for p in (2.0, None, 12345678.5, float("inf"), 0.002)]
+    df = spark.createDataFrame(rows, "asset_class string, vol_moving_avg string, adj_close_rolling_med double, "
+                               "prediction double")
+    df.write.parquet(f"{tmp_dir}/requests")
+    out = score_guard(spark.read.parquet(f"{tmp_dir}/requests"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as double)") == 1 and plan.count("_text_0") > 1
+    got = {(r["vol_moving_avg"], r["adj_close_rolling_med"]): r["message"] for r in out.collect()}
+    assert got["12345678.25", 12345678.5].endswith("given (12345678.25, 12345678.5) is 5.")
+    assert got["0.0001", 0.002].endswith("given (1.0E-4, 0.002) is 5.")
+    assert sum(m.startswith("The predicted") for m in got.values()) == 5 * 3
