@@ -41,6 +41,7 @@ every score is 0.0. Columns other than text are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
@@ -63,6 +64,7 @@ TRIM = b".,;:!?\"'()[]{}*%$&#"
 BROADCAST_BYTES = 64 << 20
 FLUSH = 1_000_000        # pairs that a counting task holds before it passes them on
 TABLE_ROWS = 4_000_000   # of 16 bytes: what a task may be sent of the scoring table
+PART_ROWS = 500_000      # of the scoring table, collected at once
 CHUNK = 2 << 20
 TEXTS = 256              # whose words are looked up at once
 ROW = 64                 # bytes that a row counts besides its text
@@ -312,9 +314,9 @@ def bloom(keys: DataFrame) -> np.ndarray:
 
     slot = F.col("key").bitwiseAND(F.lit(BLOOM_BITS - 1))
     parts = (keys.select((slot / BLOOM_BLOCK).cast("int").alias("block"), (slot % BLOOM_BLOCK).cast("int").alias("bit"))
-             .distinct().groupBy("block").applyInPandas(block, "block int, bits binary").toPandas())
+             .distinct().groupBy("block").applyInPandas(block, "block int, bits binary").collect())
     out = np.zeros((BLOOM_BITS // BLOOM_BLOCK, BLOOM_BLOCK // 8), dtype=np.uint8)
-    for number, bits in zip(parts["block"], parts["bits"]):
+    for number, bits in parts:
         out[number] = np.frombuffer(bits, dtype=np.uint8)
     return out.reshape(-1)
 
@@ -376,6 +378,20 @@ def in_place(text: Column, keys: Broadcast) -> Column:
     return features(text)
 
 
+def sorted_columns(table: DataFrame, rows: int) -> dict[str, np.ndarray]:
+    """The scoring table's columns by key; the driver holds them once, and one part of the rows beside them."""
+    key, ratio, end = np.empty(rows, np.int64), np.empty(rows), 0
+    parts = max(1, math.ceil(rows / PART_ROWS))
+    for part in range(parts):
+        some = table.where(F.pmod("key", F.lit(parts)) == part).toArrow()
+        begin, end = end, end + len(some)
+        key[begin:end], ratio[begin:end] = some["key"].to_numpy(), some["ratio"].to_numpy()
+    order = np.argsort(key)
+    for column in (key, ratio):
+        column[:] = column[order]
+    return {"key": key, "ratio": ratio}
+
+
 def fit_curve(x: np.ndarray, toxic: np.ndarray) -> tuple[float, np.ndarray]:
     """Logistic regression by Newton's method: its log-likelihood, its coefficients."""
     beta, ridge = np.zeros(x.shape[1]), 1e-3
@@ -412,10 +428,11 @@ def train(docs: DataFrame, labels: DataFrame, curve_rows: int = 20_000) -> Model
     ids = known.where(part == 4).orderBy(F.xxhash64("doc_id"), "toxic").limit(curve_rows)
     rows = texts.where(part == 4).join(ids, "doc_id").select("text", "toxic")
     weights, features = weighed(rows, model)
-    held = weights.select("toxic", features).toPandas()
+    held = weights.select("toxic", features).toArrow()      # columns, not a Python object for each number
     d, e, curve = 0, 0, (0.0, 1.0, 0.0, 0.0, 0.0)      # too few rows for a curve: the ratio itself
-    if held["toxic"].nunique() == 2:
-        x, toxic = np.stack(held[features].to_list()), held["toxic"].to_numpy().astype(float)
+    toxic = held["toxic"].to_numpy().astype(float)
+    if len(np.unique(toxic)) == 2:
+        x = pc.list_flatten(held[features]).to_numpy().reshape(len(toxic), -1)
         n, fits = len(DISCOUNTS), {}
         for i in range(n):
             for j in range(len(PAIR_DISCOUNTS)):
@@ -436,9 +453,7 @@ def scored(docs: DataFrame, model: Model | None, into: str = "score", ratio: str
     if model is None:
         return docs.withColumns({into: F.lit(0.0), **({ratio: F.lit(0.0)} if ratio else {})})
     if model.rows <= table_rows:
-        table = model.table.toPandas()
-        order = np.argsort(table["key"].to_numpy())
-        sent = docs.sparkSession.sparkContext.broadcast({c: table[c].to_numpy()[order] for c in ("key", "ratio")})
+        sent = docs.sparkSession.sparkContext.broadcast(sorted_columns(model.table, model.rows))
         features, = unused(docs, "_features")
         out = docs.withColumn(features, in_place(F.col("text"), sent))
     else:

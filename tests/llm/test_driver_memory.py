@@ -1,0 +1,43 @@
+"""What grows with the input stays out of the driver."""
+
+from pyspark.sql import functions as F
+
+from barflow.llm import kneser_tables
+
+
+def labelled(spark, n=200):
+    """Documents of two classes with their own words, and labels of all of them."""
+    rows = [(i, " ".join(f"{'vile' if i % 3 == 0 else 'kind'}{(i * 7 + j) % 23} w{(i + j) % 11}" for j in range(20)))
+            for i in range(n)]
+    return (spark.createDataFrame(rows, "doc_id long, text string"),
+            spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+
+
+def test_op9_curve_and_table_come_as_columns(spark, monkeypatch):
+    docs, labels = labelled(spark)
+
+    def rows_in_python(df):
+        raise AssertionError("an object in the driver for each number")
+
+    model = kneser_tables.train(docs, labels)
+    expected = {r.doc_id: r.score for r in kneser_tables.scored(docs, model).collect()}
+    with monkeypatch.context() as m:
+        m.setattr(type(docs), "toPandas", rows_in_python)
+        model = kneser_tables.train(docs, labels)
+        got = {r.doc_id: r.score for r in kneser_tables.scored(docs, model).collect()}
+        assert got == expected and len(got) == 200
+        assert min(got[i] for i in range(0, 200, 3)) > max(got[i] for i in range(1, 200, 3))
+        joined = kneser_tables.scored(docs, model, table_rows=0).collect()      # the bitmap as well
+    assert all(abs(r.score - got[r.doc_id]) < 1e-12 for r in joined)
+
+
+def test_op9_table_is_collected_in_parts(spark, monkeypatch):
+    table = spark.range(1_000).select(F.xxhash64("id").alias("key"), (F.col("id") / 7).alias("ratio"))
+    sizes, real = [], type(table).toArrow
+    monkeypatch.setattr(kneser_tables, "PART_ROWS", 130)
+    monkeypatch.setattr(type(table), "toArrow", lambda df: sizes.append(real(df)) or sizes[-1])
+    got = kneser_tables.sorted_columns(table, 1_000)
+    assert max(len(s) for s in sizes) < 200
+    expected = sorted((r.key, r.ratio) for r in table.collect())
+    assert list(zip(got["key"].tolist(), got["ratio"].tolist())) == expected and expected[0][0] < 0
+    assert len(kneser_tables.sorted_columns(table.limit(0), 0)["key"]) == 0
