@@ -273,8 +273,9 @@ def search(vectors: DataFrame, is_query=None, k: int = 20, degree: int = 32, bea
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
 
-    # a task's share is one block of queries against one shard
-    pairs = visits.join(graphs, ["dim", "shard"]).repartition("dim", "shard", "block")
+    # a task's share is one block of queries against one shard. Never by a broadcast: the planner takes
+    # the visits to be as small as the blocks' files, but each shard has its own copy of every block
+    pairs = visits.hint("merge").join(graphs.hint("merge"), ["dim", "shard"]).repartition("dim", "shard", "block")
     found = pairs.mapInArrow(visit, "query_id long, vec_id long, score double").distinct()
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -1,8 +1,9 @@
 """What grows with the input stays out of the driver."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from barflow.llm import kneser_tables
+from barflow.llm import kneser_tables, pruned_graph
 
 
 def labelled(spark, n=200):
@@ -41,3 +42,13 @@ def test_op9_table_is_collected_in_parts(spark, monkeypatch):
     expected = sorted((r.key, r.ratio) for r in table.collect())
     assert list(zip(got["key"].tolist(), got["ratio"].tolist())) == expected and expected[0][0] < 0
     assert len(kneser_tables.sorted_columns(table.limit(0), 0)["key"]) == 0
+
+
+def test_op4_visits_are_never_broadcast(spark):
+    rng = np.random.default_rng(1)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 8)))],
+                                    "vec_id long, embedding array<float>")
+    found = pruned_graph.search(vectors, k=3, shard_rows=100)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert found.count() == 15 * 3
